@@ -11,68 +11,48 @@ from pyspark.sql import functions as F
 
 from ringwatch.schema import TIME_ZONE, WEEKDAYS
 
-_OFFSET = r"(?::\d{2}|T\d{2})\s?(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})$"
-
-
-def _epoch() -> Column:
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-
-
-def _wall_time(utc: Column) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(TIME_ZONE), utc)
-
-
-def _read(text: Column, pattern: str, iso: str) -> Column:
-    """Rearrange a local format to ISO order and read it; null if it is no date."""
-    return F.regexp_replace(text, pattern, iso).try_cast("timestamp_ntz")
+_OFFSET = r"(:\d{2}|T\d{2})(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})$"
+_PLAIN_ISO = r"^\d{4}-[^. ]*( [^. ]*)?$"
+
+# Local spellings -> ISO order, one after the other; a text matches at most one date
+# form. Dates are day-first after a slash and month-first after a short dash; a part
+# above 12 cannot be the month, so such a date is read the other way round. Years of
+# two digits from 69 on belong to the last century (POSIX).
+_TO_ISO = [
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) kell (\d{1,2}:\d{1,2})$", "$3-$2-$1 $4"),
+    (r"^(\d{1,2})/(1[3-9]|[23]\d)/(\d{4})", "$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1"),
+    (r"^(\d{1,2}-\d{1,2})-(69|[7-9]\d)(?!\d)", "$1-19$2"),
+    (r"^(\d{1,2}-\d{1,2})-(\d{2})(?!\d)", "$1-20$2"),
+    (r"^(1[3-9]|[23]\d)-(\d{1,2})-(\d{4})", "$3-$2-$1"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})", "$3-$1-$2"),
+    (r"(:\d{2})\.\d+", "$1"),  # the result has whole seconds
+    (r" (Z|[+-]\d{2}:?\d{2})$", "$1"),
+]
+
+
+def _iso(text: Column) -> Column:
+    rearranged = text
+    for pattern, form in _TO_ISO:
+        rearranged = F.regexp_replace(rearranged, pattern, form)
+    return F.when(text.rlike(_PLAIN_ISO), text).otherwise(rearranged)
 
 
 def normalize_timestamp(raw: Column) -> Column:
     """Any of the six known spellings -> Tallinn wall time, null if unreadable.
 
-    All digits are epoch seconds; ``dd.MM.yyyy kell HH:mm`` is the Estonian form;
-    slashes are day-first; a short first dash part is month-first; the rest is ISO.
-    A day-first or month-first date that cannot exist is read the other way round.
+    All digits are epoch seconds, and a text with an offset is an instant too; both
+    are converted. ``dd.MM.yyyy kell HH:mm`` is the Estonian form; slashes are
+    day-first; a short first dash part is month-first; the rest is ISO.
     """
-    # Fractions are cut: the result has whole seconds.
-    text = F.regexp_replace(F.trim(raw), r"(:\d{2})\.\d+", "$1")
-    offset = F.regexp_extract(text, _OFFSET, 1)
-    has_offset = text.rlike(_OFFSET)
-    clock = F.when(has_offset, F.regexp_replace(text, r"\s?(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})$", "")).otherwise(text)
-
-    slash = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
-    dash2 = r"^(\d{1,2})-(\d{1,2})-(\d{2})(?!\d)"
-    dash4 = r"^(\d{1,2})-(\d{1,2})-(\d{4})"
-    # POSIX pivot for two-digit years: 69..99 belong to the last century.
-    century = F.when(F.regexp_extract(text, dash2, 3) >= "69", F.lit("19")).otherwise(F.lit("20"))
-    long_dash = F.when(
-        clock.rlike(dash2),
-        F.regexp_replace(clock, F.lit(dash2), F.concat(F.lit("$1-$2-"), century, F.lit("$3"))),
-    ).otherwise(clock)
-
-    naive = (
-        F.when(clock.contains("kell"), _read(clock, r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) kell (\d{1,2}:\d{1,2})$", "$3-$2-$1 $4"))
-        .when(clock.contains("/"), F.coalesce(_read(clock, slash, "$3-$2-$1"), _read(clock, slash, "$3-$1-$2")))
-        .when(
-            clock.rlike(r"^[^-]{0,3}-"),
-            F.coalesce(_read(long_dash, dash4, "$3-$1-$2"), _read(long_dash, dash4, "$3-$2-$1")),
-        )
-        .otherwise(clock.try_cast("timestamp_ntz"))
-    )
-
-    digits = F.regexp_replace(offset, r"[^0-9]", "")
-    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
-    shift = F.when(offset == "Z", 0).when(offset.startswith("-"), minutes).otherwise(-minutes)
-
-    return (
-        F.when(
-            text.rlike(r"^\d{1,10}$"),
-            _wall_time(F.timestamp_add("SECOND", text.try_cast("bigint"), _epoch())),
-        )
-        .when(text.rlike(r"^\d+$"), F.lit(None).cast("timestamp_ntz"))
-        .when(has_offset, _wall_time(F.timestamp_add("MINUTE", shift, naive)))
-        .otherwise(naive)
+    text = F.trim(raw)
+    iso = _iso(text)
+    instant = F.when(text.rlike(r"^\d{1,10}$"), text.try_cast("bigint")).when(
+        iso.rlike(_OFFSET), F.unix_seconds(iso.try_cast("timestamp"))
     )
+    utc = F.timestamp_add("SECOND", instant, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    wall_time = F.convert_timezone(F.lit("UTC"), F.lit(TIME_ZONE), utc)
+    return F.coalesce(wall_time, iso.try_cast("timestamp_ntz"))
 
 
 def normalize_timestamp_strict(raw: Column) -> Column:

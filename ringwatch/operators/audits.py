@@ -21,10 +21,10 @@ def _in_random_order(df: DataFrame, repeats: int, seed: int) -> DataFrame:
     """
     repeated = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     shuffled = repeated.withColumn("__order", F.xxhash64("call_id", "repeat", F.lit(seed)))
-    numbered = row_numbers(shuffled, ["repeat", "__order", "call_id"], "__row")
+    numbered = row_numbers(shuffled, ["repeat", "__order", "call_id"])
     # Every repeat has all rows, so the place within it is the remainder.
     n = df.agg(F.count(F.lit(1))).scalar()
-    return numbered.withColumn("place", (F.col("__row") - 1) % n).drop("__row", "__order")
+    return numbered.withColumn("place", (F.col("row_no") - 1) % n).drop("row_no", "__order")
 
 
 def label_permutation(scored: DataFrame, score: str, repeats: int = 20, seed: int = SEED) -> DataFrame:

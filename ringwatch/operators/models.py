@@ -157,10 +157,19 @@ def fit_forest(
 
 
 def boosting(name: str, iterations: int = 100, step: float = 0.1, depth: int = 3) -> GBTClassifier:
-    outputs = _outputs(name)
-    return GBTClassifier(
-        **outputs, maxIter=iterations, stepSize=step, maxDepth=depth, seed=SEED, cacheNodeIds=True, checkpointInterval=10
+    columns = _outputs(name)
+    estimator = GBTClassifier(
+        featuresCol=columns["featuresCol"],
+        labelCol=columns["labelCol"],
+        predictionCol=columns["predictionCol"],
+        maxIter=iterations,
+        stepSize=step,
+        maxDepth=depth,
+        seed=SEED,
+        cacheNodeIds=True,
+        checkpointInterval=10,
     )
+    return estimator.setProbabilityCol(columns["probabilityCol"]).setRawPredictionCol(columns["rawPredictionCol"])
 
 
 def fit_boosting(

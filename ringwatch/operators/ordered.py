@@ -52,13 +52,13 @@ def running_totals(df: DataFrame, order: Sequence[str], amounts: Sequence[str])
 def row_numbers(df: DataFrame, order: Sequence[str | Column], name: str = "row_no") -> DataFrame:
     """Number all rows 1..n in ``order``, which must be total for a stable answer."""
     sliced = _slices(df, order).withColumn(
-        "__row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+        "__in_slice", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     )
     offsets = _before_slice(sliced.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("n")), ["n"])
     return (
         sliced.join(F.broadcast(offsets), _SLICE)
-        .withColumn(name, F.col("__row") + F.col("__n") + 1)
-        .drop(_SLICE, "__row", "__n")
+        .withColumn(name, F.col("__in_slice") + F.col("__n") + 1)
+        .drop(_SLICE, "__in_slice", "__n")
     )
 
 

@@ -41,8 +41,12 @@ def write_calls(df: DataFrame, path: str, sink: str = "parquet", by_date: bool =
 
 
 def with_parsed_time(df: DataFrame) -> DataFrame:
-    """Add ``ts``, the normalised time of the raw ``timestamp`` text."""
-    return df.withColumn("ts", normalize_timestamp(F.col("timestamp")))
+    """Add ``ts``, the normalised time of the raw ``timestamp`` text.
+
+    A one-element array keeps later filters from repeating the parser: each text
+    is read once, whatever is done with ``ts``.
+    """
+    return df.select("*", F.explode(F.array(normalize_timestamp(F.col("timestamp")))).alias("ts"))
 
 
 def load_calls(df: DataFrame) -> DataFrame:

@@ -2,23 +2,27 @@
 
 Each event becomes one call; its type plays the label. A fiftieth of the calls
 comes twice, and a hundredth comes again with a duration a little off, so that
-deduplication has work. The expressions are plain SQL that Spark and other
-engines read alike.
+deduplication has work. Apart from the spelled time, the expressions are plain SQL
+that Spark and other engines read alike.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.schema import CALL_COLUMNS
 
 _FRAUD = "event_type in ('error','purchase')"
-_D2 = "lpad(cast({0}(ts) as string),2,'0')"
-_DAY, _MONTH, _HOUR, _MINUTE, _SECOND = (_D2.format(p) for p in ("day", "month", "hour", "minute", "second"))
-_YEAR = "cast(year(ts) as string)"
-_HM = f"{_HOUR},':',{_MINUTE}"
-_HMS = f"{_HM},':',{_SECOND}"
+_CLOCK = r"^(..)(..)-(..)-(..) (..:..)(:..).*$"  # century, year, month, day, minute, second
+# Remainder of the event number -> spelling of its time; any other is plain ISO.
+_TIME_FORMS = {
+    0: "$4/$3/$1$2 $5",
+    1: "$3-$4-$2 $5$6",
+    2: "$1$2-$3-$4T$5$6+02:00",
+    3: "$4.$3.$1$2 kell $5",
+}
+_ISO_FORM = "$1$2-$3-$4 $5$6"
 
 CALL_EXPRESSIONS = {
     "call_id": "concat('C', lpad(cast(event_id as string), 8, '0'))",
@@ -27,14 +31,6 @@ CALL_EXPRESSIONS = {
         "else concat('+3725', lpad(cast(user_id as string), 7, '0')) end"
     ),
     "called_number": "concat('+3725', lpad(cast((event_id * 7919) % 997 as string), 7, '0'))",
-    "timestamp": (
-        "case event_id % 20 "
-        f"when 0 then concat({_DAY},'/',{_MONTH},'/',{_YEAR},' ',{_HM}) "
-        f"when 1 then concat({_MONTH},'-',{_DAY},'-',cast(year(ts) % 100 as string),' ',{_HMS}) "
-        f"when 2 then concat({_YEAR},'-',{_MONTH},'-',{_DAY},'T',{_HMS},'+02:00') "
-        f"when 3 then concat({_DAY},'.',{_MONTH},'.',{_YEAR},' kell ',{_HM}) "
-        f"else concat({_YEAR},'-',{_MONTH},'-',{_DAY},' ',{_HMS}) end"
-    ),
     "duration_sec": "case when event_id % 50 = 0 then null else cast(floor(value) + 5 as double) end",
     "was_answered": "event_id % 20 >= 3",
     "channel": (
@@ -81,6 +77,16 @@ NEARLY_REPEATED = "event_id % 100 = 7"
 DURATION_DRIFT = "(cast(floor(event_id / 100) as int) % 5 - 2)"
 
 
+def _spelled_time() -> Column:
+    """The event's time in one of five spellings, from its plain text, which no time zone shifts."""
+    clock = F.col("ts").cast("string")
+    form = F.expr("event_id % 20")
+    spelled = F.when(F.lit(False), clock)
+    for remainder, shape in _TIME_FORMS.items():
+        spelled = spelled.when(form == remainder, F.regexp_replace(clock, _CLOCK, shape))
+    return spelled.otherwise(F.regexp_replace(clock, _CLOCK, _ISO_FORM))
+
+
 def event_calls(events: DataFrame) -> DataFrame:
     """All calls with their copies, from one pass over the events."""
     copies = F.expr(
@@ -91,7 +97,9 @@ def event_calls(events: DataFrame) -> DataFrame:
     columns["duration_sec"] = (
         f"({columns['duration_sec']}) + case when copy = 2 then {DURATION_DRIFT} else 0 end"
     )
-    return exploded.select(*[F.expr(columns[name]).alias(name) for name in CALL_COLUMNS])
+    expressions = {name: F.expr(text) for name, text in columns.items()}
+    expressions["timestamp"] = _spelled_time()
+    return exploded.select(*[expressions[name].alias(name) for name in CALL_COLUMNS])
 
 
 def read_event_calls(spark: SparkSession, folder: str) -> DataFrame:
