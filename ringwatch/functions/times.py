@@ -11,31 +11,47 @@ from pyspark.sql import functions as F
 
 from ringwatch.schema import TIME_ZONE, WEEKDAYS
 
-_OFFSET = r"(:\d{2}|T\d{2})(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})$"
-_PLAIN_ISO = r"^\d{4}-[^. ]*( [^. ]*)?$"
-
-# Local spellings -> ISO order, one after the other; a text matches at most one date
-# form. Dates are day-first after a slash and month-first after a short dash; a part
-# above 12 cannot be the month, so such a date is read the other way round. Years of
-# two digits from 69 on belong to the last century (POSIX).
-_TO_ISO = [
-    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) kell (\d{1,2}:\d{1,2})$", "$3-$2-$1 $4"),
+_PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}(:\d{1,2})?)?$"
+_OFFSET = r"(:\d{2}|\.\d+|T\d{2}) ?(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})$"
+
+# Local spellings -> ISO order. Dates are day-first after a slash and month-first
+# after a short dash; a part above 12 cannot be the month, so such a date is read
+# the other way round. Years of two digits from 69 on belong to the last century.
+_KELL = [(r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) kell (\d{1,2}:\d{1,2})$", "$3-$2-$1 $4")]
+_SLASH = [
     (r"^(\d{1,2})/(1[3-9]|[23]\d)/(\d{4})", "$3-$1-$2"),
     (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1"),
+]
+_SHORT_DASH = [
     (r"^(\d{1,2}-\d{1,2})-(69|[7-9]\d)(?!\d)", "$1-19$2"),
     (r"^(\d{1,2}-\d{1,2})-(\d{2})(?!\d)", "$1-20$2"),
     (r"^(1[3-9]|[23]\d)-(\d{1,2})-(\d{4})", "$3-$2-$1"),
     (r"^(\d{1,2})-(\d{1,2})-(\d{4})", "$3-$1-$2"),
-    (r"(:\d{2})\.\d+", "$1"),  # the result has whole seconds
-    (r" (Z|[+-]\d{2}:?\d{2})$", "$1"),
 ]
+# The result has whole seconds, and an offset follows the clock without a space.
+_TAIL = [(r"(:\d{2})\.\d+", "$1"), (r" (Z|[+-]\d{2}:?\d{2})$", "$1")]
+
+
+def _rewrite(text: Column, steps: list[tuple[str, str]]) -> Column:
+    for pattern, form in steps:
+        text = F.regexp_replace(text, pattern, form)
+    return text
 
 
 def _iso(text: Column) -> Column:
-    rearranged = text
-    for pattern, form in _TO_ISO:
-        rearranged = F.regexp_replace(rearranged, pattern, form)
-    return F.when(text.rlike(_PLAIN_ISO), text).otherwise(rearranged)
+    ordered = (
+        F.when(text.contains("kell"), _rewrite(text, _KELL))
+        .when(text.contains("/"), _rewrite(text, _SLASH))
+        .when(text.rlike(r"^\d{1,3}-"), _rewrite(text, _SHORT_DASH))
+        .otherwise(text)
+    )
+    return _rewrite(ordered, _TAIL)
+
+
+def _wall_time(seconds: Column) -> Column:
+    """Epoch seconds as Tallinn wall time, by way of UTC wall time."""
+    utc = F.timestamp_add("SECOND", seconds, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(TIME_ZONE), utc)
 
 
 def normalize_timestamp(raw: Column) -> Column:
@@ -43,16 +59,16 @@ def normalize_timestamp(raw: Column) -> Column:
 
     All digits are epoch seconds, and a text with an offset is an instant too; both
     are converted. ``dd.MM.yyyy kell HH:mm`` is the Estonian form; slashes are
-    day-first; a short first dash part is month-first; the rest is ISO.
+    day-first; a short first dash part is month-first; the rest is ISO. The common
+    form comes first and costs one match and one cast.
     """
     text = F.trim(raw)
-    iso = _iso(text)
-    instant = F.when(text.rlike(r"^\d{1,10}$"), text.try_cast("bigint")).when(
-        iso.rlike(_OFFSET), F.unix_seconds(iso.try_cast("timestamp"))
+    return (
+        F.when(text.rlike(_PLAIN), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(r"^\d{1,10}$"), _wall_time(text.try_cast("bigint")))
+        .when(text.rlike(_OFFSET), _wall_time(F.unix_seconds(_iso(text).try_cast("timestamp"))))
+        .otherwise(_iso(text).try_cast("timestamp_ntz"))
     )
-    utc = F.timestamp_add("SECOND", instant, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
-    wall_time = F.convert_timezone(F.lit("UTC"), F.lit(TIME_ZONE), utc)
-    return F.coalesce(wall_time, iso.try_cast("timestamp_ntz"))
 
 
 def normalize_timestamp_strict(raw: Column) -> Column:

@@ -58,9 +58,18 @@ def lookup_history(df: DataFrame, number: str) -> DataFrame:
     return matching_calls(df, number).orderBy(F.desc_nulls_last("ts"), "call_id")
 
 
+def _mean_confidence():
+    """Mean of the known scores, cut to 12 digits.
+
+    Sums of doubles depend on the order in which tasks deliver them; without the
+    cut, a mean at the limit of two levels would change sides from run to run.
+    """
+    return F.round(F.avg("confidence_score"), 12)
+
+
 def risk_info(history: DataFrame) -> DataFrame:
     """One row: clamped mean confidence, its level and the number of calls."""
-    mean = history.agg(F.avg("confidence_score").alias("mean"), F.count(F.lit(1)).alias("history_count"))
+    mean = history.agg(_mean_confidence().alias("mean"), F.count(F.lit(1)).alias("history_count"))
     return mean.select(
         clamp_score(F.col("mean")).alias("confidence_score"), risk_level(F.col("mean")).alias("risk_level"), "history_count"
     )
@@ -71,7 +80,7 @@ def number_risk(df: DataFrame) -> DataFrame:
     mean = (
         df.filter(F.col("caller_number").isNotNull())
         .groupBy("caller_number")
-        .agg(F.avg("confidence_score").alias("mean"), F.count(F.lit(1)).alias("history_count"))
+        .agg(_mean_confidence().alias("mean"), F.count(F.lit(1)).alias("history_count"))
     )
     return mean.select(
         "caller_number",

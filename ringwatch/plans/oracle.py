@@ -405,7 +405,7 @@ def _bodies() -> dict[str, str]:
         "lookup_history_prefix": _matching(LOOKUP_PREFIX, _HISTORY),
         "lookup_risk": (
             "select round(least(greatest(m, 0), 1), 6) as confidence_score, " + _level("m") + " as risk_level, "
-            "n as history_count from (select avg(confidence_score) as m, count(*) as n from ("
+            "n as history_count from (select round(avg(confidence_score), 12) as m, count(*) as n from ("
             + _matching(LOOKUP_PREFIX, "*")
             + "))"
         ),
@@ -500,7 +500,7 @@ def _bodies() -> dict[str, str]:
         ),
         "number_risk": (
             "select caller_number, round(least(greatest(m, 0), 1), 6) as confidence_score, " + _level("m") + " as risk_level, "
-            "n as history_count from (select caller_number, avg(confidence_score) as m, count(*) as n from digits "
+            "n as history_count from (select caller_number, round(avg(confidence_score), 12) as m, count(*) as n from digits "
             "where caller_number is not null group by 1)"
         ),
         "risk_level": (
