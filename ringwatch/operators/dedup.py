@@ -37,13 +37,13 @@ def _with_key(df: DataFrame, tolerance: float) -> DataFrame:
     )
 
 
-def _first_of_band_stays(tolerance: float) -> Column:
+def _first_of_band_stays(tolerance: float, *alone: str) -> Column:
     """Whether a band's shortest call lies beyond the tolerance of the band before.
 
     A key has as many bands as the span of its durations holds tolerances, so
     this window sees few rows per key even if the key holds many calls.
     """
-    previous = F.lag("__longest").over(W.partitionBy(*_KEY).orderBy("__band"))
+    previous = F.lag("__longest").over(W.partitionBy(*_KEY, *alone).orderBy("__band"))
     return previous.isNull() | (F.col("__shortest") - previous > tolerance)
 
 
@@ -52,20 +52,26 @@ def drop_near_duplicates(df: DataFrame, tolerance: float = NEAR_DUPLICATE_SECOND
 
     Calls are compared within (caller, called, minute), where null equals null.
     The next shorter call counts even if it is dropped itself. Equal durations
-    keep the lowest call_id. A call without duration is always kept. Needs ``ts``.
+    keep the lowest call_id. A call without duration is always kept. Needs ``ts``,
+    and distinct rows: run the exact pass first.
     """
     columns = df.columns
     # call_id right after the duration settles ties; the other columns make the order total.
     ordered = ["duration_sec", "call_id", *[c for c in columns if c not in ("duration_sec", "call_id")]]
-    timed = _with_key(df.filter(F.col("duration_sec").isNotNull()), tolerance)
-    bands = timed.groupBy(*_KEY, "__band").agg(
-        F.min(F.struct(*ordered)).alias("__first"),
-        F.min("duration_sec").alias("__shortest"),
-        F.max("duration_sec").alias("__longest"),
+    # A call without duration is a group of its own, in the aggregate and in the window.
+    alone = F.when(F.col("duration_sec").isNull(), F.struct(*columns))
+    bands = (
+        _with_key(df, tolerance)
+        .withColumn("__alone", alone)
+        .groupBy(*_KEY, "__alone", "__band")
+        .agg(
+            F.min(F.struct(*ordered)).alias("__first"),
+            F.min("duration_sec").alias("__shortest"),
+            F.max("duration_sec").alias("__longest"),
+        )
     )
-    kept = bands.withColumn("__stays", _first_of_band_stays(tolerance)).filter("__stays").select("__first.*")
-    untimed = df.filter(F.col("duration_sec").isNull())
-    return kept.select(*columns).unionByName(untimed)
+    stays = _first_of_band_stays(tolerance, "__alone")
+    return bands.withColumn("__stays", stays).filter("__stays").select("__first.*").select(*columns)
 
 
 def dedup(df: DataFrame, tolerance: float = NEAR_DUPLICATE_SECONDS) -> DataFrame:

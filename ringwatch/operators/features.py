@@ -51,13 +51,20 @@ def prefix_counts(df: DataFrame, length: int = PREFIX_DIGITS) -> DataFrame:
     )
 
 
-def add_prefix_frequency(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def add_prefix_frequency(
+    df: DataFrame, counts: DataFrame | None = None, length: int = PREFIX_DIGITS
+) -> DataFrame:
     """How many calls share the caller's prefix, counted in ``df`` or taken from ``counts``.
 
-    With counts of the training rows, a prefix they lack gets null.
+    With counts of the training rows, a prefix they lack gets null. Up to six digits
+    bound the table of counts to about a million rows, which are broadcast; a longer
+    prefix has no such bound and is joined by key.
     """
-    table = prefix_counts(df) if counts is None else counts
-    return attach_bounded(df.withColumn(PREFIX, number_prefix(F.col("caller_number"))), table, PREFIX).drop(PREFIX)
+    table = prefix_counts(df, length) if counts is None else counts
+    prefixed = df.withColumn(PREFIX, number_prefix(F.col("caller_number"), length))
+    if length <= 6:
+        return attach_bounded(prefixed, table, PREFIX).drop(PREFIX)
+    return attach_per_key(prefixed, table, PREFIX, PREFIX_FREQ, df.columns).drop(PREFIX)
 
 
 def frequency_encode(df: DataFrame, column: str) -> DataFrame:

@@ -95,13 +95,13 @@ def _outputs(name: str) -> dict[str, str]:
     }
 
 
-def with_balanced_weights(train: DataFrame) -> DataFrame:
-    """Add ``weight``; the target has two classes, so two numbers go into the plan."""
-    weights = {r["is_fraud"]: r["weight"] for r in class_weights(train).collect()}
+def with_balanced_weights(train: DataFrame) -> tuple[DataFrame, int]:
+    """Add ``weight`` and count the rows; the two classes put two numbers into the plan."""
+    classes = class_weights(train).collect()
     weight = F.lit(1.0)
-    for label, value in weights.items():
-        weight = F.when(F.col("is_fraud") == label, F.lit(value)).otherwise(weight)
-    return train.withColumn("weight", weight)
+    for row in classes:
+        weight = F.when(F.col("is_fraud") == row["is_fraud"], F.lit(row["weight"])).otherwise(weight)
+    return train.withColumn("weight", weight), sum(row["n"] for row in classes)
 
 
 def _fit(train: DataFrame, name: str, features: Sequence[str], scaled: bool, fill: str, estimator) -> Fitted:
@@ -124,13 +124,13 @@ def fit_logistic(
     Spark averages the loss, so a penalty of 1 on the sum is 1/n here; balanced
     weights sum to n.
     """
-    weighted = with_balanced_weights(train)
+    weighted, n = with_balanced_weights(train)
     estimator = LogisticRegression(
         **_outputs(name),
         weightCol="weight",
         maxIter=max_iter,
         elasticNetParam=0.0,
-        regParam=1.0 / train.count(),
+        regParam=1.0 / n,
         standardization=False,
     )
     return _fit(weighted, name, features, scaled, fill, estimator)
@@ -153,7 +153,7 @@ def fit_forest(
         maxMemoryInMB=1024,
         seed=SEED,
     )
-    return _fit(with_balanced_weights(train), name, features, False, fill, estimator)
+    return _fit(with_balanced_weights(train)[0], name, features, False, fill, estimator)
 
 
 def boosting(name: str, iterations: int = 100, step: float = 0.1, depth: int = 3) -> GBTClassifier:

@@ -388,7 +388,8 @@ def _(spark, folder):
 
 @_query("date_range")
 def _(spark, folder):
-    return explore.date_range(timed_calls(spark, folder))
+    dates = explore.date_range(timed_calls(spark, folder))
+    return dates.select(*[F.col(c).cast("string").alias(c) for c in dates.columns])
 
 
 @_query("top_volume")
@@ -689,6 +690,19 @@ def _(spark, folder):
     return audits.label_permutation(fitted.score(data.test), f"{fitted.name}_p")
 
 
+@_query("label_permutation_gbt")
+def _(spark, folder):
+    data = _data(spark, folder)
+    fitted = models.fit_boosting(data.train, data.features, iterations=SIZES.boosting_iterations, fill="zero")
+    return audits.label_permutation(fitted.score(data.test), f"{fitted.name}_p")
+
+
+@_query("gbt_importance")
+def _(spark, folder):
+    data = _data(spark, folder)
+    return models.impurity_importance(data.table, _boosting(data))
+
+
 @_query("coef_report")
 def _(spark, folder):
     data = _data(spark, folder)

@@ -517,7 +517,10 @@ def _bodies() -> dict[str, str]:
             "select distinct 'label' as field, label_5way as value from clean where label_5way is not null union all "
             "select distinct 'channel' as field, channel as value from clean where channel is not null"
         ),
-        "date_range": "select min(cast(ts as date)) as first_date, max(cast(ts as date)) as last_date from timed",
+        "date_range": (
+            "select cast(min(cast(ts as date)) as varchar) as first_date, "
+            "cast(max(cast(ts as date)) as varchar) as last_date from timed"
+        ),
         "top_volume": (
             "select caller_number, count(call_id) as calls, "
             f"round(avg(case when {_CANON} in ('confirmed_fraud', 'high_risk_reported') then 1.0 else 0.0 end), 6) as fraud_rate "

@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
     # Small inputs must still be cut into several slices.
     session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    # Plans are read as text, so they must not be cut short.
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
 

@@ -17,7 +17,7 @@ def kept(df):
 
 def test_near_duplicates_follow_the_sorted_neighbour(calls):
     # 104 falls to 100, 108 to 104 although that is dropped; 113 is exactly 5 off.
-    df = calls(*rows([100.0, 104.0, 108.0, 114.0, 119.0, None, None]))
+    df = calls(*rows([100.0, 104.0, 108.0, 114.0, 119.0, None, None]))  # two calls without duration
     assert kept(dedup.drop_near_duplicates(df)) == ["c0", "c3", "c5", "c6"]
 
 
@@ -84,6 +84,16 @@ def test_dedup_combines_before_the_shuffle(calls):
     assert "partial_min" in plan and "Python" not in plan
 
 
+def test_the_table_is_read_once(spark):
+    from ringwatch.sources.calls import with_parsed_time
+    from ringwatch.sources.event_calls import read_event_calls
+
+    # Not the folder whose calls the session has cached.
+    df = dedup.dedup(with_parsed_time(read_event_calls(spark, "/root/testdata/sf0.01")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_key_count(calls):
     df = calls(*rows([1.0, 1.0, 2.0, None, None]))
     key = ["caller_number", "called_number", "duration_sec"]
