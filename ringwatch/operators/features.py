@@ -64,13 +64,13 @@ def add_prefix_frequency(
     prefixed = df.withColumn(PREFIX, number_prefix(F.col("caller_number"), length))
     if length <= 6:
         return attach_bounded(prefixed, table, PREFIX).drop(PREFIX)
-    return attach_per_key(prefixed, table, PREFIX, PREFIX_FREQ, df.columns).drop(PREFIX)
+    return attach_per_key(prefixed, table, [PREFIX], PREFIX_FREQ, df.columns).drop(PREFIX)
 
 
 def frequency_encode(df: DataFrame, column: str) -> DataFrame:
     """Replace any ``column`` by its per-value count ``<column>_freq``; null stays null."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(f"{column}_freq"))
-    return attach_per_key(df, counts, column, f"{column}_freq", df.columns).drop(column)
+    return attach_per_key(df, counts, [column], f"{column}_freq", df.columns).drop(column)
 
 
 def one_hot_channel(df: DataFrame) -> DataFrame:

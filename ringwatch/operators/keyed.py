@@ -13,30 +13,36 @@ HEAVY_SHARE = 1024
 
 
 def attach_per_key(
-    df: DataFrame, per_key: DataFrame, key: str, rows: str, spread_by: Sequence[str]
+    df: DataFrame,
+    per_key: DataFrame,
+    keys: Sequence[str],
+    rows: str,
+    spread_by: Sequence[str],
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join ``per_key`` (one row per key, ``rows`` = its row count) to ``df``.
 
     The rows of a heavy key go to as many tasks as its size asks for, picked by a
     hash of ``spread_by``, and its per-key row is copied to each. Only the heavy
     keys are broadcast. The hash depends on the row alone, so that a task that is
-    run again after a loss sends each row to the same place.
+    run again after a loss sends each row to the same place. ``sizes`` may give the
+    keys and row counts from a cheaper plan than ``per_key``.
     """
-    total = per_key.agg(F.sum(rows)).scalar()
-    heavy = per_key.select(
-        key, F.ceil(F.col(rows) * F.lit(HEAVY_SHARE) / total).cast("int").alias("__parts")
-    ).filter(F.col("__parts") > 1)
+    keys = list(keys)
+    sizes = per_key if sizes is None else sizes
+    share = F.lit(HEAVY_SHARE) / sizes.agg(F.sum(rows)).scalar()
+    parts_of_key = F.greatest(F.ceil(F.col(rows) * share), F.lit(1)).cast("int")
+    heavy = sizes.select(*keys, parts_of_key.alias("__parts")).filter(F.col("__parts") > 1)
     # Rows without a key match nothing, but would all meet in one task.
-    parts = F.when(F.col(key).isNull(), F.lit(HEAVY_SHARE)).otherwise(F.coalesce(F.col("__parts"), F.lit(1)))
-    left = df.join(F.broadcast(heavy), key, "left").withColumn(
+    unknown = F.lit(False)
+    for key in keys:
+        unknown = unknown | F.col(key).isNull()
+    parts = F.when(unknown, F.lit(HEAVY_SHARE)).otherwise(F.coalesce(F.col("__parts"), F.lit(1)))
+    left = df.join(F.broadcast(heavy), keys, "left").withColumn(
         "__part", F.pmod(F.xxhash64(*spread_by), parts).cast("int")
     )
-    right = (
-        per_key.withColumn("__parts", F.ceil(F.col(rows) * F.lit(HEAVY_SHARE) / total).cast("int"))
-        .withColumn("__part", F.explode(F.sequence(F.lit(0), F.greatest(F.col("__parts"), F.lit(1)) - 1)))
-        .drop("__parts")
-    )
-    return left.join(right, [key, "__part"], "left").drop("__part", "__parts")
+    right = per_key.withColumn("__part", F.explode(F.sequence(F.lit(0), parts_of_key - 1)))
+    return left.join(right, [*keys, "__part"], "left").drop("__part", "__parts")
 
 
 def attach_bounded(df: DataFrame, per_key: DataFrame, key: str) -> DataFrame:

@@ -36,8 +36,12 @@ def _call_levels(df: DataFrame, hours: int) -> DataFrame:
         "caller_number",
         F.inline(
             F.array(
-                F.struct(F.col("ts").alias("at"), F.col("n").alias("calls"), F.lit(1).alias("is_call")),
-                F.struct(_hours_later(F.col("ts"), hours).alias("at"), (-F.col("n")).alias("calls"), F.lit(0).alias("is_call")),
+                F.struct(F.col("ts").alias("at"), F.col("n").alias("calls"), F.col("n").alias("here")),
+                F.struct(
+                    _hours_later(F.col("ts"), hours).alias("at"),
+                    (-F.col("n")).alias("calls"),
+                    F.lit(0).cast("bigint").alias("here"),
+                ),
             )
         ),
     )
@@ -76,22 +80,22 @@ def _victim_levels(df: DataFrame) -> DataFrame:
 def trailing_levels(df: DataFrame) -> DataFrame:
     """Per caller and call time: calls in the 24 hours and victims in the 7 days before.
 
-    The windows are [t-24h, t) and [t-7d, t): calls at t itself do not count.
+    The windows are [t-24h, t) and [t-7d, t): calls at t itself do not count; ``here``
+    says how many there are.
     """
     placed = df.filter(F.col("caller_number").isNotNull() & F.col("ts").isNotNull())
     zero = F.lit(0).cast("bigint")
-    events = _call_levels(placed, 24).select("caller_number", "at", "calls", zero.alias("victims"), "is_call").unionByName(
-        _victim_levels(placed).select("caller_number", "at", zero.alias("calls"), "victims", F.lit(0).alias("is_call"))
-    )
-    changes = events.groupBy("caller_number", "at").agg(
-        F.sum("calls").alias("calls"), F.sum("victims").alias("victims"), F.max("is_call").alias("is_call")
-    )
+    calls = _call_levels(placed, 24).withColumn("victims", zero)
+    victims = _victim_levels(placed).withColumns({"calls": zero, "here": zero})
+    amounts = ["calls", "victims", "here"]
+    changes = calls.unionByName(victims).groupBy("caller_number", "at").agg(*[F.sum(a).alias(a) for a in amounts])
     levels = running_totals(changes, ["caller_number", "at"], ["calls", "victims"])
-    return levels.filter(F.col("is_call") == 1).select(
+    return levels.filter(F.col("here") > 0).select(
         "caller_number",
         F.col("at").alias("ts"),
         F.col("calls_before").alias(CALLS_24H),
         F.col("victims_before").alias(VICTIMS_7D),
+        "here",
     )
 
 
@@ -106,7 +110,7 @@ def mean_durations(df: DataFrame) -> DataFrame:
 
 def add_mean_duration(df: DataFrame) -> DataFrame:
     """The caller's mean duration over the whole table on each of its rows."""
-    return attach_per_key(df, mean_durations(df), "caller_number", "__n", df.columns).drop("__n")
+    return attach_per_key(df, mean_durations(df), ["caller_number"], "__n", df.columns).drop("__n")
 
 
 def add_trailing_features(df: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -118,12 +122,13 @@ def add_trailing_features(df: DataFrame, reference: DataFrame | None = None) ->
     """
     per_caller = mean_durations(df if reference is None else reference)
     levels = trailing_levels(df)
-    per_time = attach_per_key(levels, per_caller, "caller_number", "__n", ["caller_number", "ts"]).drop("__n")
+    caller, time = ["caller_number"], ["caller_number", "ts"]
+    per_time = attach_per_key(levels, per_caller, caller, "__n", time).drop("__n")
     known = df.filter(F.col("caller_number").isNotNull() & F.col("ts").isNotNull())
-    timed = known.join(per_time, ["caller_number", "ts"], "left")
+    timed = attach_per_key(known, per_time, time, "here", df.columns, levels.select(*time, "here")).drop("here")
     # Without caller or time there is nothing to look back from.
     rest = df.filter(F.col("caller_number").isNull() | F.col("ts").isNull())
-    untimed = attach_per_key(rest, per_caller, "caller_number", "__n", df.columns).drop("__n").withColumns(
+    untimed = attach_per_key(rest, per_caller, caller, "__n", df.columns).drop("__n").withColumns(
         {CALLS_24H: F.lit(0).cast("bigint"), VICTIMS_7D: F.lit(0).cast("bigint")}
     )
     both = timed.unionByName(untimed)

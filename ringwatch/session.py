@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_STORED: list[str] = []
+
+
 def local_session(cores: int | str = 8, app: str = "ringwatch") -> SparkSession:
     """A local[N] session for tests and the benchmark."""
     os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
@@ -59,4 +62,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the tables that :func:`store` wrote, once a job has its results."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    while _STORED:
+        path = hadoop(_STORED.pop())
+        path.getFileSystem(configuration).delete(path, True)

@@ -52,7 +52,7 @@ def test_attach_splits_heavy_keys(spark):
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, None).otherwise(F.col("id").cast("string")).alias("k")
     )
     counts = df.filter("k is not null").groupBy("k").agg(F.count("*").alias("n"))
-    got = keyed.attach_per_key(df, counts, "k", "n", ["id"])
+    got = keyed.attach_per_key(df, counts, ["k"], "n", ["id"])
     assert got.count() == 6000
     assert got.filter("k = 'hot'").agg(F.min("n"), F.max("n"), F.count("*")).first()[:] == (2000, 2000, 2000)
     assert got.filter("k is null and n is not null").count() == 0
