@@ -112,14 +112,22 @@ def cut_key(df: DataFrame, share: float) -> tuple[str, str] | None:
     """
     per_time = df.groupBy(_time_key().alias("at")).agg(F.count(F.lit(1)).alias("n"))
     placed = running_totals(per_time, ["at"], ["n"])
-    wanted = int((placed.agg(F.sum("n")).first()[0] or 0) * share)
-    if wanted == 0:
+    wanted = F.floor(placed.agg(F.sum("n")).scalar() * F.lit(share))
+    cut = (
+        placed.filter((F.col("n_before") < wanted) & (F.col("n_before") + F.col("n") >= wanted))
+        .select(F.col("at").cast("string").alias("at"), "n", (wanted - F.col("n_before")).alias("taken"))
+        .first()
+    )
+    if cut is None:
         return None
-    holds_cut = (F.col("n_before") < wanted) & (F.col("n_before") + F.col("n") >= wanted)
-    at = placed.filter(holds_cut).select(F.col("at").cast("string").alias("at"), "n_before").first()
-    ties = df.filter(_time_key() == F.lit(at["at"]).cast("timestamp_ntz")).select("call_id")
-    tie = row_numbers(ties, ["call_id"]).filter(F.col("row_no") == wanted - at["n_before"]).first()
-    return at["at"], tie["call_id"]
+    ties = df.filter(_time_key() == F.lit(cut["at"]).cast("timestamp_ntz")).select("call_id")
+    if cut["taken"] == cut["n"]:
+        last = ties.agg(F.max("call_id"))
+    elif cut["taken"] == 1:
+        last = ties.agg(F.min("call_id"))
+    else:
+        last = row_numbers(ties, ["call_id"]).filter(F.col("row_no") == cut["taken"]).select("call_id")
+    return cut["at"], last.first()[0]
 
 
 def add_time_split(df: DataFrame, test_share: float = TEST_SHARE) -> DataFrame:

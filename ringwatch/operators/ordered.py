@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ringwatch.operators.keyed import attach_per_key
 from ringwatch.session import freeze
 
 _SLICE = "__slice"
@@ -74,9 +75,15 @@ def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
         by, list(columns), "column", "value"
     )
     counts = values.filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_totals(counts, [*keys, "value"], ["n"])
-    groups = placed.groupBy(*keys).agg(F.min("n_before").alias("__start"), F.sum("n").alias("__total"))
-    joined = _null_safe_join(placed, groups, keys)
+    # The group as text: null is then a group like any other, in a join too.
+    placed = running_totals(counts, [*keys, "value"], ["n"]).withColumn("__group", F.to_json(F.struct(*keys)))
+    groups = placed.groupBy("__group").agg(
+        F.min("n_before").alias("__start"), F.sum("n").alias("__total"), F.count(F.lit(1)).alias("__values")
+    )
+    if by:
+        joined = attach_per_key(placed, groups, ["__group"], "__values", [*keys, "value"])
+    else:  # one row per column
+        joined = placed.join(F.broadcast(groups), "__group")
     first = F.col("n_before") - F.col("__start")
     lower = F.floor((F.col("__total") - 1) / 2)
     upper = F.floor(F.col("__total") / 2)
@@ -88,12 +95,6 @@ def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     return joined.groupBy(*keys).agg(((at(lower) + at(upper)) / 2).alias("median"))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
-    return left.join(renamed, on, "left").drop(*[f"__r_{k}" for k in keys])
-
-
 def median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Medians of a few columns as driver-side numbers, to be fitted into a plan."""
     return {r["column"]: r["median"] for r in exact_medians(df, columns).collect()}

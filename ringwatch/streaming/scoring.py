@@ -51,7 +51,7 @@ def drop_repeated_calls(calls: DataFrame, delay: str = "1 hour") -> DataFrame:
     The event time must be a ``timestamp``, so the wall time is cast in the
     session's zone; it only bounds the state and is not put out.
     """
-    columns = [c for c in calls.columns]
+    columns = calls.columns
     timed = with_parsed_time(calls)
     timed = timed.withColumn("event_time", timed["ts"].cast("timestamp")).drop("ts")
     return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(columns).select(*columns)
