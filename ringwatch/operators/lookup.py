@@ -26,8 +26,9 @@ def filter_calls(
 ) -> DataFrame:
     """Calls that meet every given condition; an empty one is no condition.
 
-    Both days are inclusive. Numbers and prefix are compared as digits. Every
-    condition is a plain comparison with a column, so it reaches the file scan.
+    Both days are inclusive. Numbers are digits, as ``load_calls`` leaves them, and so
+    is the prefix. Every condition is a plain comparison with a column, so on a stored
+    table it reaches the file scan.
     """
     if start is not None:
         df = df.filter(F.col("ts") >= _day(start))

@@ -11,14 +11,16 @@ from ringwatch.schema import CALLS
 
 
 def read_calls(spark: SparkSession, path: str, source: str = "csv", multi_line: bool = False) -> DataFrame:
-    """Read calls with the declared types; an empty CSV field is null.
+    """Read calls with the declared types; in CSV an empty field and NaN are null.
 
     ``multi_line`` admits line breaks in quoted text, but then a file is one task.
     """
     reader = spark.read.schema(CALLS)
-    if source == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    return reader.format(source).load(path)
+    if source != "csv":
+        return reader.format(source).load(path)
+    reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    numbers = [f.name for f in CALLS.fields if f.dataType.typeName() == "double"]
+    return reader.csv(path).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
 
 
 def write_calls(df: DataFrame, path: str, sink: str = "parquet", by_date: bool = False) -> None:

@@ -20,6 +20,15 @@ def test_quotes_and_commas(spark, calls, tmp_path):
     assert read_calls(spark, path).first()["complaint_text"] == 'Ta ütles: "kaart, palun"'
 
 
+def test_missing_numbers_in_csv(spark, tmp_path):
+    path = tmp_path / "calls.csv"
+    row = ["c1", "+372500", "+372501", "1779624000", "NaN", "True", "", "False", *["False"] * 5, "", "", "3.0", "Unknown", "0.5"]
+    path.write_text(",".join(CALL_COLUMNS) + "\n" + ",".join(row) + "\n")
+    got = read_calls(spark, str(path)).first()
+    assert got["caller_number"] == "+372500" and got["was_answered"] is True and got["manual_severity"] == 3.0
+    assert [got[c] for c in ("duration_sec", "channel", "time_to_next_action_min", "complaint_text")] == [None] * 4
+
+
 def test_date_layout_prunes_files(spark, raw, tmp_path):
     path = str(tmp_path / "by-date")
     timed = with_parsed_time(raw)
