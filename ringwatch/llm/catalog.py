@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ringwatch.llm import oracle
 from ringwatch.llm.encoding import encoding_digests
 from ringwatch.llm.mixing import mix
+from ringwatch.llm.quality_rules import judge_quality
+from ringwatch.llm.simhash import simhash_groups
 from ringwatch.llm.token_counts import count_tokens
+from ringwatch.llm.warc import read_records, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,10 +28,30 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that are labelled good."""
+    return table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+
+
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_quality(table(spark, folder, "documents"), trusted_ids(spark, folder))
+
+
+def op2_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    archive = write_archive(table(spark, folder, "pages"))
+    return read_records(spark, archive).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary_path())
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_groups(table(spark, folder, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
@@ -40,7 +63,10 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": op1_quality_rules,
+        "op2_warc_archive": op2_warc_archive,
         "op4_token_counts": op4_token_counts,
+        "op5_simhash": op5_simhash,
         "op8_source_mix": op8_source_mix,
         "op9_bpe": op9_bpe,
     }

@@ -2,6 +2,21 @@
 
 from __future__ import annotations
 
+OP2 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (
+  SELECT payload, min(page_id) AS first_id FROM p GROUP BY payload)
+SELECT p.page_id,
+  CAST(strlen(p.payload) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(p.h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER) + 1, 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN p.page_id = r.first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id = r.first_id THEN NULL ELSE r.first_id END AS refers_to
+FROM p JOIN r ON p.payload = r.payload
+"""
+
 OP8 = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -51,4 +66,4 @@ JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mix": OP8}
+    return {"op2_warc_archive": OP2, "op8_source_mix": OP8}

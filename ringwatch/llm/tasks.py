@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 import ringwatch
 
@@ -34,7 +35,7 @@ def send_package(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``df.mapInArrow`` with the package at hand in the tasks."""
     send_package(df.sparkSession)
