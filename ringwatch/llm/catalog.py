@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ringwatch.llm import oracle
 from ringwatch.llm.encoding import encoding_digests
+from ringwatch.llm.ftrl import score_logistic
 from ringwatch.llm.mixing import mix
 from ringwatch.llm.quality_rules import judge_quality
 from ringwatch.llm.simhash import simhash_groups
 from ringwatch.llm.token_counts import count_tokens
+from ringwatch.llm.toxicity import score_chain
 from ringwatch.llm.warc import read_records, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +55,14 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain goes over both categories that are labelled: bad quality, then toxicity."""
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("id"), (1 - F.col("quality")).alias("low_quality"), "toxic"
+    )
+    return score_chain(table(spark, folder, "documents"), labels, ["low_quality", "toxic"])
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
@@ -61,14 +72,26 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"), vocabulary_path())
 
 
+def _held_out(column: str) -> Column:
+    return F.crc32(F.col(column).cast("string")) % 3 == 1
+
+
+def op10_quality_score(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    scored = score_logistic(table(spark, folder, "documents"), labels.filter(~_held_out("id")))
+    return scored.select("doc_id", _held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_warc_archive": op2_warc_archive,
         "op4_token_counts": op4_token_counts,
         "op5_simhash": op5_simhash,
+        "op7_toxicity": op7_toxicity,
         "op8_source_mix": op8_source_mix,
         "op9_bpe": op9_bpe,
+        "op10_quality_score": op10_quality_score,
     }
 
 
