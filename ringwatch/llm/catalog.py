@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.llm import oracle
+from ringwatch.llm.embedding_dups import embedding_groups
 from ringwatch.llm.encoding import encoding_digests
 from ringwatch.llm.ftrl import score_logistic
 from ringwatch.llm.mixing import mix
@@ -55,6 +56,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
 
 
+def op6_embedding_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_groups(table(spark, folder, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The chain goes over both categories that are labelled: bad quality, then toxicity."""
     labels = table(spark, folder, "labels").select(
@@ -88,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op2_warc_archive": op2_warc_archive,
         "op4_token_counts": op4_token_counts,
         "op5_simhash": op5_simhash,
+        "op6_embedding_dups": op6_embedding_dups,
         "op7_toxicity": op7_toxicity,
         "op8_source_mix": op8_source_mix,
         "op9_bpe": op9_bpe,

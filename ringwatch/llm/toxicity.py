@@ -40,7 +40,7 @@ def _featurised(sample: DataFrame, categories: Sequence[str]) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features(**FEATURES)
         for batch in batches:
-            found = [make.of(t.as_py())[0].astype(np.int32) for t in batch.column(1).cast(pa.binary())]
+            found = [make.of(t.as_py())[0] for t in batch.column(1).cast(pa.binary())]
             columns = [batch.column(0), *[batch.column(2 + k) for k in range(len(categories))]]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(found, pa.list_(pa.int32()))], ["doc_id", *categories, "buckets"]
@@ -65,7 +65,7 @@ def _step(rows: DataFrame, category: str, earlier: Sequence[str], out_of_fold: b
         group = group.iloc[group["doc_id"].map(lambda i: hashlib.md5(str(i).encode()).digest()).argsort()]
         extra = group[list(earlier)].to_numpy(dtype=float)
         inputs = [
-            (np.asarray(b, dtype=np.int64), float(max(len(b), 1)) ** -FEATURES["damping"], x)
+            (np.asarray(b, dtype=np.int32), float(max(len(b), 1)) ** -FEATURES["damping"], x)
             for b, x in zip(group["buckets"], extra)
         ]
         labels = group[category].to_numpy(dtype=float)
