@@ -14,6 +14,7 @@ from ringwatch.llm.ftrl import score_logistic
 from ringwatch.llm.mixing import mix
 from ringwatch.llm.quality_rules import judge_quality
 from ringwatch.llm.simhash import simhash_groups
+from ringwatch.llm.templates import drop_repeated_lines
 from ringwatch.llm.token_counts import count_tokens
 from ringwatch.llm.toxicity import score_chain
 from ringwatch.llm.warc import read_records, write_archive
@@ -48,6 +49,11 @@ def op2_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return drop_repeated_lines(docs, counts=True)
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary_path())
 
@@ -91,6 +97,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_warc_archive": op2_warc_archive,
+        "op3_line_templates": op3_line_templates,
         "op4_token_counts": op4_token_counts,
         "op5_simhash": op5_simhash,
         "op6_embedding_dups": op6_embedding_dups,

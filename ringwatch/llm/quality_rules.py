@@ -26,7 +26,9 @@ TRUSTED_ROWS = 20_000
 BUCKET_BITS = 16
 ORDERS = (1, 2)
 #: Least mean log ratio per n-gram of a document that is kept, in nats.
-MIN_SCORE = -0.05
+MIN_SCORE = -0.07
+#: N-grams that are added to each bucket on both sides, so that buckets with few of them say little.
+PRIOR = 10.0
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 WINDOW = 8
@@ -100,18 +102,18 @@ def ngram_counts(
 
 
 def log_ratios(counts: DataFrame, bits: int) -> np.ndarray:
-    """Per bucket, the log of the trusted over the raw probability; one more of each is counted everywhere.
+    """Per bucket, the log of the trusted over the raw probability.
 
-    At most 2 ** ``bits`` rows come to the driver. Without trusted n-grams all ratios are 0.
+    Raw counts are scaled to the trusted total, then ``PRIOR`` is added to both. At most
+    2 ** ``bits`` rows come to the driver. Without trusted n-grams all ratios are 0.
     """
-    table = np.ones((2, 1 << bits))
     rows = counts.toPandas()
-    table[0, rows["bucket"]] += rows["trusted"]
-    table[1, rows["bucket"]] += rows["raw"]
-    if not rows["trusted"].sum():
-        return np.zeros(1 << bits)
-    shares = np.log(table / table.sum(axis=1, keepdims=True))
-    return shares[0] - shares[1]
+    ratios = np.zeros(1 << bits)
+    trusted, raw = rows["trusted"].to_numpy(dtype=float), rows["raw"].to_numpy(dtype=float)
+    if trusted.sum():
+        expected = raw * (trusted.sum() / raw.sum())
+        ratios[rows["bucket"]] = np.log((trusted + PRIOR) / (expected + PRIOR))
+    return ratios
 
 
 def base_counts(text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[int, int, int, int, int]:

@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ringwatch.llm.components import connected_components
 from ringwatch.llm.tasks import map_batches
@@ -71,19 +72,21 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(bits.view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, id_column: str, text_column: str, shingle_words: int) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of each row as a signed 64-bit number."""
+def with_fingerprint(rows: DataFrame, text_column: str, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """``rows`` with ``fp``, a signed 64-bit number, in place of the text."""
+    others = [c for c in rows.columns if c != text_column]
+    at = rows.columns.index(text_column)
+    rest = [k for k in range(len(rows.columns)) if k != at]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(at).cast(pa.binary())
             found = np.array([fingerprint(t.as_py() or b"", shingle_words) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"]
-            )
+            kept = [batch.column(k) for k in rest]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found.view(np.int64))], [*others, "fp"])
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return map_batches(docs.select(id_column, text_column), work, f"doc_id {kind}, fp long")
+    schema = StructType([*[f for f in rows.schema.fields if f.name != text_column], StructField("fp", LongType())])
+    return map_batches(rows, work, schema)
 
 
 def _syndromes(vectors: np.ndarray) -> np.ndarray:
@@ -199,6 +202,19 @@ def near_fingerprints(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
     ).select("a", "b")
 
 
+def group_firsts(prints: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fp, first``: for each fingerprint the smallest ``key`` of all rows that links reach."""
+    classes = store(prints.groupBy("fp").agg(F.min(key).alias("smallest")), "simhash-classes")
+    members = connected_components(near_fingerprints(classes, max_bits))  # fingerprints with links only
+    named = (
+        members.join(classes, members["node"] == classes["fp"])
+        .groupBy("component")
+        .agg(F.min("smallest").alias("least"))
+    )
+    linked = members.join(named, "component").select(F.col("node").alias("fp"), "least")
+    return classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "smallest").alias("first"))
+
+
 def simhash_groups(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
@@ -217,18 +233,37 @@ def simhash_groups(
     if no other id is in it (null then). Other columns are not read. An empty table
     gives an empty table.
     """
-    prints = store(with_fingerprint(docs, id_column, text_column, shingle_words), "simhash-prints")
-    classes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "simhash-classes")
-    links = near_fingerprints(classes, max_bits)
-    members = connected_components(links)  # node, component: only fingerprints with links
-    named = (
-        members.join(classes, members["node"] == classes["fp"])
-        .groupBy("component")
-        .agg(F.min("smallest").alias("least"))
-    )
-    linked = members.join(named, "component").select(F.col("node").alias("fp"), "least")
-    whole = classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "smallest").alias("component_id"))
+    slim = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
+    firsts = group_firsts(prints, "doc_id", max_bits)
     # One row per fingerprint on the right; a common fingerprint makes a skewed left side, which is split.
-    return prints.join(whole, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    return prints.join(firsts, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
+    )
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that are first of their group, with all their columns.
+
+    First is the smallest id, null ids last, and of equal ids a text picked by its hash;
+    of rows that are equal in id and text one stays. The rest as in :func:`simhash_groups`.
+    """
+    row = F.xxhash64(
+        F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")),
+        F.col(f"`{id_column}`").isNull(),
+        F.coalesce(F.col(f"`{text_column}`"), F.lit("")),
+    )
+    slim = docs.select(
+        F.struct(F.col(f"`{id_column}`").isNull().alias("no_id"), F.col(f"`{id_column}`").alias("id"), row.alias("row")).alias("key"),
+        F.col(f"`{text_column}`").alias("text"),
     )
+    prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
+    firsts = group_firsts(prints, "key", max_bits).select(F.col("first.row").alias("__row")).distinct()
+    kept = docs.withColumn("__row", row).join(firsts, "__row")
+    return kept.dropDuplicates(["__row"]).drop("__row")
