@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ringwatch.llm.tasks import quoted, unused_name
 from ringwatch.operators.ordered import row_numbers
 from ringwatch.session import store
 
@@ -27,15 +28,14 @@ LEVELS = 4
 HASH_BITS = LEVEL_BITS * LEVELS
 
 
-def word_count(text: str | Column) -> Column:
+def word_count(text: Column) -> Column:
     """Words of a text; null and empty texts have none."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def _hash(id_column: str) -> Column:
     """48 bits that depend on the id alone, so that reruns and lost tasks agree."""
-    text = F.concat(F.lit("mix:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
+    text = F.concat(F.lit("mix:"), F.coalesce(F.col(quoted(id_column)).cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -98,9 +98,9 @@ def _thresholds(slim: DataFrame, budgets: DataFrame) -> DataFrame:
             F.shiftright("hash", HASH_BITS - kept_bits + LEVEL_BITS).alias("prefix"),
             F.shiftright("hash", HASH_BITS - kept_bits).alias("bucket"),
         )
-        same = slim_key = [F.col("s.source").eqNullSafe(F.col("b.source"))]
+        same = [F.col("s.source").eqNullSafe(F.col("b.source"))]
         if level:  # only the boundary buckets are looked into again; their keys are even
-            same = [*slim_key, F.col("s.prefix") == F.col("b.prefix")]
+            same.append(F.col("s.prefix") == F.col("b.prefix"))
             finer = finer.alias("s").join(
                 state.select("source", "prefix").alias("b"), same, "left_semi"
             )
@@ -150,8 +150,8 @@ def mix(
     """
     slim = store(
         docs.select(
-            F.col(source_column).cast("string").alias("source"),
-            word_count(text_column).alias("size"),
+            F.col(quoted(source_column)).cast("string").alias("source"),
+            word_count(F.col(quoted(text_column))).alias("size"),
             _hash(id_column).alias("hash"),
         ),
         "mix-sizes",
@@ -164,32 +164,26 @@ def mix(
     budgets = store(budgets, "mix-budgets")
     thresholds = _thresholds(slim, budgets.filter("rest > 0"))
     # One row per source, read back from files: Spark broadcasts it only if its size allows that.
+    rows = docs.drop(into)
+    plan, joined_on = unused_name(rows, "__plan"), unused_name(rows, "__source")
     per_source = store(
         budgets.alias("b")
         .join(thresholds.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")), "left")
         .select(
-            F.struct(
-                F.col("b.source").alias("source"),
-                "source_size",
-                "target",
-                "rounds",
-                F.coalesce("threshold", F.lit(0)).alias("threshold"),
-            ).alias("__of_source")
+            F.col("b.source").alias(joined_on),
+            F.struct("source_size", "target", "rounds", F.coalesce("threshold", F.lit(0)).alias("threshold")).alias(plan),
         ),
         "mix-thresholds",
     )
-    rows = docs.drop(into)
-    joined = rows.join(
-        per_source, rows[source_column].cast("string").eqNullSafe(per_source["__of_source.source"]), "left"
-    )
-    copies = F.col("__of_source.rounds") + (_hash(id_column) < F.col("__of_source.threshold")).cast("int")
-    size = word_count(text_column)
+    joined = rows.join(per_source, F.col(quoted(source_column)).cast("string").eqNullSafe(F.col(joined_on)), "left")
+    copies = F.col(f"{plan}.rounds") + (_hash(id_column) < F.col(f"{plan}.threshold")).cast("int")
+    size = word_count(F.col(quoted(text_column)))
     return joined.select(
-        *[rows[c] for c in rows.columns],
+        *[F.col(quoted(c)) for c in rows.columns],
         F.struct(
             size.alias("size"),
-            F.col("__of_source.source_size").alias("source_size"),
-            F.col("__of_source.target").alias("target"),
+            F.col(f"{plan}.source_size").alias("source_size"),
+            F.col(f"{plan}.target").alias("target"),
             copies.alias("copies"),
             (size * copies).alias("taken"),
         ).alias(into),
@@ -198,6 +192,8 @@ def mix(
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, columns as in ``docs``."""
-    chosen = mix(docs, into="__mix", **options).filter(F.col("__mix.copies") > 0)
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("__mix.copies")))
-    return chosen.withColumn("__copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = unused_name(docs, "__mix")
+    copy = unused_name(docs, "__copy")
+    chosen = mix(docs, into=name, **options).filter(F.col(f"{name}.copies") > 0)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(f"{name}.copies")))
+    return chosen.withColumn(copy, copies).select(*[F.col(quoted(c)) for c in docs.columns])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.tasks import map_batches
+from ringwatch.llm.tasks import map_batches, quoted
 from ringwatch.llm.wordbpe import Cached
 from ringwatch.llm.words import following, hashed, repeated_windows, word_hash
 
@@ -26,7 +26,7 @@ TRUSTED_ROWS = 20_000
 BUCKET_BITS = 16
 ORDERS = (1, 2)
 #: Least mean log ratio per n-gram of a document that is kept, in nats.
-MIN_SCORE = -0.07
+MIN_SCORE = -0.12
 #: N-grams that are added to each bucket on both sides, so that buckets with few of them say little.
 PRIOR = 10.0
 MIN_WORDS = 20
@@ -94,10 +94,11 @@ def ngram_counts(
         )
 
     chosen = trusted.select(F.col("id").alias("__id"), F.lit(True).alias("__trusted"))
-    marked = docs.join(F.broadcast(chosen), docs[id_column] == chosen["__id"], "left")
-    parts = map_batches(
-        marked.select(text_column, F.coalesce("__trusted", F.lit(False))), work, "bucket long, trusted long, raw long"
+    slim = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.col(quoted(text_column)).alias("text"))
+    marked = slim.join(F.broadcast(chosen), slim["doc_id"] == chosen["__id"], "left").select(
+        "text", F.coalesce("__trusted", F.lit(False))
     )
+    parts = map_batches(marked, work, "bucket long, trusted long, raw long")
     return parts.groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw"))
 
 

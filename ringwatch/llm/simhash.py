@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ringwatch.llm.components import connected_components
-from ringwatch.llm.tasks import map_batches
+from ringwatch.llm.tasks import map_batches, quoted, unused_name
 from ringwatch.session import store
 
 SHINGLE_WORDS = 3
@@ -236,7 +236,6 @@ def simhash_groups(
     slim = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
     firsts = group_firsts(prints, "doc_id", max_bits)
-    # One row per fingerprint on the right; a common fingerprint makes a skewed left side, which is split.
     return prints.join(firsts, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
     )
@@ -254,16 +253,17 @@ def drop_near_copies(
     First is the smallest id, null ids last, and of equal ids a text picked by its hash;
     of rows that are equal in id and text one stays. The rest as in :func:`simhash_groups`.
     """
+    name = unused_name(docs, "__row")
     row = F.xxhash64(
-        F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")),
-        F.col(f"`{id_column}`").isNull(),
-        F.coalesce(F.col(f"`{text_column}`"), F.lit("")),
+        F.coalesce(F.col(quoted(id_column)).cast("string"), F.lit("")),
+        F.col(quoted(id_column)).isNull(),
+        F.coalesce(F.col(quoted(text_column)), F.lit("")),
     )
     slim = docs.select(
-        F.struct(F.col(f"`{id_column}`").isNull().alias("no_id"), F.col(f"`{id_column}`").alias("id"), row.alias("row")).alias("key"),
-        F.col(f"`{text_column}`").alias("text"),
+        F.struct(F.col(quoted(id_column)).isNull().alias("no_id"), F.col(quoted(id_column)).alias("id"), row.alias("row")).alias("key"),
+        F.col(quoted(text_column)).alias("text"),
     )
     prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
-    firsts = group_firsts(prints, "key", max_bits).select(F.col("first.row").alias("__row")).distinct()
-    kept = docs.withColumn("__row", row).join(firsts, "__row")
-    return kept.dropDuplicates(["__row"]).drop("__row")
+    firsts = group_firsts(prints, "key", max_bits).select(F.col("first.row").alias(name)).distinct()
+    kept = docs.withColumn(name, row).join(firsts, name)
+    return kept.dropDuplicates([name]).select(*[F.col(quoted(c)) for c in docs.columns])

@@ -40,3 +40,16 @@ def map_batches(
     """``df.mapInArrow`` with the package at hand in the tasks."""
     send_package(df.sparkSession)
     return df.mapInArrow(work, schema)
+
+
+def unused_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, in any spelling of upper and lower case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
+def quoted(name: str) -> str:
+    """A column name as it is, whatever signs are in it."""
+    return "`" + name.replace("`", "``") + "`"

@@ -2,7 +2,7 @@
 
 A line is put into the tree by its number of tokens and its leading tokens, where tokens
 with digits count as variable; that is a leaf. Within a leaf a token is constant if enough
-documents have it at that place, else it is a variable field. What is left, constants and
+lines have it at that place, else it is a variable field. What is left, constants and
 fields, is the line's template. Templates that enough different documents have are
 recurring: the first of their lines stays, all others are dropped.
 
@@ -23,14 +23,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.tasks import map_batches
+from ringwatch.llm.tasks import map_batches, quoted, unused_name
 from ringwatch.session import store
 
 #: Lines of fewer tokens stay as they are.
 MIN_TOKENS = 4
 #: Leading tokens that lead to a leaf, after the number of tokens.
 DEPTH = 3
-#: Documents that make a template recurring, and a token constant at its place.
+#: Documents that make a template recurring, and lines that make a token constant at its place.
 MIN_DOCS = 3
 #: Least percentage of constants in a template with variable fields.
 MIN_CONSTANT_PERCENT = 60
@@ -166,9 +166,9 @@ def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -
 def _row(id_column: str, text_column: str) -> Column:
     """A hash that stands for a row: rows of the same id and text are the same row."""
     return F.xxhash64(
-        F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")),
-        F.col(f"`{id_column}`").isNull(),
-        F.coalesce(F.col(f"`{text_column}`"), F.lit("")),
+        F.coalesce(F.col(quoted(id_column)).cast("string"), F.lit("")),
+        F.col(quoted(id_column)).isNull(),
+        F.coalesce(F.col(quoted(text_column)), F.lit("")),
     )
 
 
@@ -187,7 +187,7 @@ def repeated_lines(
     First is the smallest (id, row, line number), null ids last. ``row`` is the hash of id and text.
     """
     slim = docs.select(
-        _row(id_column, text_column).alias("row"), F.col(f"`{id_column}`").alias("doc"), F.col(f"`{text_column}`").alias("text")
+        _row(id_column, text_column).alias("row"), F.col(quoted(id_column)).alias("doc"), F.col(quoted(text_column)).alias("text")
     )
     leaves = recurring_leaves(slim.select("text"), min_docs, depth, min_tokens)
     marked = candidate_lines(slim, bitmap_of(leaves, bits), depth, min_tokens, bits)
@@ -229,18 +229,19 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text; with ``counts`` also n_lines and n_dropped.
 
-    All rows and columns stay; a text of which every line is dropped becomes empty. Null
+    Those two replace columns of their names. All other rows and columns stay; a text of which every line is dropped becomes empty. Null
     texts stay null, empty ones empty. Rows with the same id and text are one document;
     null ids are told apart by their text. Lines of fewer than ``min_tokens`` tokens stay. An
     empty table gives an empty table.
     """
+    kept = docs.drop("n_lines", "n_dropped") if counts else docs
+    row, gone = unused_name(kept, "__row"), unused_name(kept, "__drops")
     drops = (
         repeated_lines(docs, id_column=id_column, text_column=text_column, **options)
-        .groupBy(F.col("row").alias("__row"))
-        .agg(F.collect_set("line_no").alias("__drops"))
+        .groupBy(F.col("row").alias(row))
+        .agg(F.collect_set("line_no").alias(gone))
     )
-    kept = docs.drop("n_lines", "n_dropped") if counts else docs
-    marked = kept.withColumn("__row", _row(id_column, text_column)).join(drops, "__row", "left").drop("__row")
+    marked = kept.withColumn(row, _row(id_column, text_column)).join(drops, row, "left").drop(row)
     at = kept.columns.index(text_column)
     names = [*kept.columns, *(["n_lines", "n_dropped"] if counts else [])]
     n_columns = len(kept.columns)
