@@ -236,7 +236,8 @@ def simhash_groups(
     slim = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
     firsts = group_firsts(prints, "doc_id", max_bits)
-    return prints.join(firsts, "fp").select(
+    # Both sides are read anew, so that Spark can split the rows of a common fingerprint.
+    return prints.join(store(firsts, "simhash-firsts"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
     )
 
