@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.operators.evaluate import roc_auc
 from ringwatch.operators.models import SEED, Fitted
-from ringwatch.operators.ordered import row_numbers
+from ringwatch.operators.ordered import mid_ranks, random_choices, row_numbers
 from ringwatch.session import store
 
 
@@ -30,18 +30,24 @@ def _in_random_order(df: DataFrame, repeats: int, seed: int) -> DataFrame:
 def label_permutation(scored: DataFrame, score: str, repeats: int = 20, seed: int = SEED) -> DataFrame:
     """AUC with true labels, and mean and deviation of the AUC with shuffled labels.
 
-    Calls are scored once. Shuffling labels means that a random choice of as many
-    calls as there are frauds becomes the positive class.
+    Calls are scored and ranked once. Shuffling labels means that a random choice of as
+    many calls as there are frauds becomes the positive class, whose ranks give the area.
     """
-    slim = store(scored.select("call_id", "is_fraud", F.col(score).alias("score")), "scored-calls")
-    frauds = slim.agg(F.sum("is_fraud")).scalar()
-    shuffled = _in_random_order(slim.drop("is_fraud"), repeats, seed).withColumn(
-        "is_fraud", (F.col("place") < frauds).cast("int")
-    )
-    areas = roc_auc(shuffled, "score", ["repeat"])
+    ranked = mid_ranks(scored.select("call_id", "is_fraud", F.col(score).alias("score")), "score", ["call_id"])
+    slim = store(ranked.select("call_id", "is_fraud", "mid_rank"), "ranked-calls")
+    rows, frauds = slim.agg(F.count(F.lit(1)), F.coalesce(F.sum("is_fraud"), F.lit(0))).first()
+
+    def area(ranks):
+        # The ranks of the positive class, less those it has among itself.
+        won = ranks - frauds * (frauds + 1) / 2
+        return F.try_divide(won, F.lit(float(frauds * (rows - frauds))))
+
+    chosen = random_choices(slim.select("call_id", "mid_rank"), "call_id", frauds, repeats, seed)
+    areas = chosen.groupBy("repeat").agg(area(F.sum("mid_rank")).alias("roc_auc"))
+    base = slim.agg(area(F.sum(F.when(F.col("is_fraud") == 1, F.col("mid_rank"))))).scalar()
     return areas.agg(
         F.avg("roc_auc").alias("shuffled_mean_auc"), F.stddev_pop("roc_auc").alias("shuffled_std_auc")
-    ).select(roc_auc(slim, "score").scalar().alias("base_auc"), "*")
+    ).select(base.alias("base_auc"), "*")
 
 
 def single_feature_auc(train: DataFrame, test: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -56,13 +56,13 @@ def drop_near_duplicates(df: DataFrame, tolerance: float = NEAR_DUPLICATE_SECOND
     and distinct rows: run the exact pass first.
     """
     columns = df.columns
+    untimed = F.col("duration_sec").isNull()
     # call_id right after the duration settles ties; the other columns make the order total.
     ordered = ["duration_sec", "call_id", *[c for c in columns if c not in ("duration_sec", "call_id")]]
-    # A call without duration is a group of its own, in the aggregate and in the window.
-    alone = F.when(F.col("duration_sec").isNull(), F.struct(*columns))
+    # A call without duration is a group of its own: rows are distinct, so id and hash tell them apart.
     bands = (
         _with_key(df, tolerance)
-        .withColumn("__alone", alone)
+        .withColumn("__alone", F.when(untimed, F.struct("call_id", F.xxhash64(*columns))))
         .groupBy(*_KEY, "__alone", "__band")
         .agg(
             F.min(F.struct(*ordered)).alias("__first"),
@@ -70,7 +70,7 @@ def drop_near_duplicates(df: DataFrame, tolerance: float = NEAR_DUPLICATE_SECOND
             F.max("duration_sec").alias("__longest"),
         )
     )
-    stays = _first_of_band_stays(tolerance, "__alone")
+    stays = F.col("__shortest").isNull() | _first_of_band_stays(tolerance, "__alone")
     return bands.withColumn("__stays", stays).filter("__stays").select("__first.*").select(*columns)
 
 

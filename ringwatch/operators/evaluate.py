@@ -98,17 +98,6 @@ def class_report(df: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(df: DataFrame, score: str = "probability_fraud") -> DataFrame:
-    """One row: accuracy, roc_auc, f1, precision, recall."""
-    area = roc_auc(df, score).select("roc_auc")
-    # One row on each side.
-    return (
-        classification_metrics(df)
-        .withColumn("roc_auc", area.scalar())
-        .select("accuracy", "roc_auc", "f1", "precision", "recall")
-    )
-
-
 METRICS = ["accuracy", "roc_auc", "f1", "precision", "recall"]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ringwatch.functions import times
 from ringwatch.functions.texts import number_prefix
-from ringwatch.operators.keyed import attach_bounded, attach_per_key
+from ringwatch.operators.keyed import MOST_BROADCAST_ROWS, attach_bounded, attach_per_key
 from ringwatch.operators.ordered import median_values, row_numbers, running_totals
 from ringwatch.schema import ACTION_FLAGS, IDENTIFIER_COLUMNS, LEAK_COLUMNS, MAX_RATE_GAP_PP, PREFIX_DIGITS, TEST_SHARE
 
@@ -56,14 +56,15 @@ def add_prefix_frequency(
 ) -> DataFrame:
     """How many calls share the caller's prefix, counted in ``df`` or taken from ``counts``.
 
-    With counts of the training rows, a prefix they lack gets null. Up to six digits
-    bound the table of counts to about a million rows, which are broadcast; a longer
-    prefix has no such bound and is joined by key.
+    With counts of the training rows, a prefix they lack gets null. There are not more
+    prefixes than numbers of up to ``length`` digits; a table that is bounded so may be
+    broadcast, any other is joined by key.
     """
     table = prefix_counts(df, length) if counts is None else counts
     prefixed = df.withColumn(PREFIX, number_prefix(F.col("caller_number"), length))
-    if length <= 6:
-        return attach_bounded(prefixed, table, PREFIX).drop(PREFIX)
+    most = sum(10**digits for digits in range(length + 1))
+    if most <= MOST_BROADCAST_ROWS:
+        return attach_bounded(prefixed, table, PREFIX, most).drop(PREFIX)
     return attach_per_key(prefixed, table, [PREFIX], PREFIX_FREQ, df.columns).drop(PREFIX)
 
 
@@ -159,17 +160,20 @@ def split_drift(df: DataFrame, tolerance: float = MAX_RATE_GAP_PP) -> DataFrame:
 def stratified_split(df: DataFrame, share: float = TEST_SHARE, by: str = "is_fraud") -> DataFrame:
     """Add ``split``: an exact ``share`` of each class, rounded up, is 'validation'.
 
-    Rows are taken in call_id order. Only (class, call_id) is sorted; the result is
-    a plain comparison with the last validation call of each class.
+    Rows are taken in the order of the MD5 of their call_id, for ids rise with time. Only
+    class, hash and id are sorted; the result is a plain comparison with the last
+    validation call of each class.
     """
-    numbered = row_numbers(df.select(by, "call_id"), [by, "call_id"])
+    order = F.md5(F.col("call_id"))
+    numbered = row_numbers(df.select(by, "call_id", order.alias("order")), [by, "order", "call_id"])
     classes = numbered.groupBy(by).agg(F.min("row_no").alias("start"), F.count(F.lit(1)).alias("n"))
     last = F.col("row_no") == F.col("start") + F.ceil(F.col("n") * share) - 1
     # One row per class of the target on either side of this broadcast and collect.
-    cuts = numbered.join(F.broadcast(classes), by).filter(last).select(by, "call_id").collect()
+    cuts = numbered.join(F.broadcast(classes), by).filter(last).select(by, "order", "call_id").collect()
     held = F.lit(False)
     for cut in cuts:
-        held = held | ((F.col(by) == cut[by]) & (F.col("call_id") <= cut["call_id"]))
+        before = (order < cut["order"]) | ((order == cut["order"]) & (F.col("call_id") <= cut["call_id"]))
+        held = held | ((F.col(by) == cut[by]) & before)
     return df.withColumn("split", F.when(held, "validation").otherwise("train"))
 
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # A key is heavy if it holds more than 1/HEAVY_SHARE of all rows, so there are
 # at most HEAVY_SHARE heavy keys, whatever the size of the table.
 HEAVY_SHARE = 1024
+# Slim rows that may be broadcast: a few dozen megabytes.
+MOST_BROADCAST_ROWS = 2_000_000
 
 
 def attach_per_key(
@@ -45,6 +48,15 @@ def attach_per_key(
     return left.join(right, [*keys, "__part"], "left").drop("__part", "__parts")
 
 
-def attach_bounded(df: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
-    """Left-join a per-key table whose key space is bounded by its form, by broadcast."""
-    return df.join(F.broadcast(per_key), key, "left")
+def attach_bounded(df: DataFrame, per_key: DataFrame, key: str, bound: int) -> DataFrame:
+    """Left-join by broadcast a per-key table that has ``bound`` rows at most by its form.
+
+    A table with more rows fails the job while it is collected for the broadcast.
+    """
+    if bound > MOST_BROADCAST_ROWS:
+        raise ValueError(f"a table of {bound} rows is not to be broadcast")
+    numbered = per_key.withColumn("__rows", F.count(F.lit(1)).over(W.partitionBy()))
+    checked = numbered.filter(
+        F.when(F.col("__rows") <= bound, F.lit(True)).otherwise(F.raise_error(F.lit(f"more than {bound} keys")))
+    ).drop("__rows")
+    return df.join(F.broadcast(checked), key, "left")

@@ -6,25 +6,35 @@ so a saved model carries them along and scores batch and stream alike.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.functions.risk import probability_band
-from ringwatch.operators.evaluate import evaluate
+from ringwatch.operators.evaluate import METRICS, classification_metrics, roc_auc
 from ringwatch.operators.features import class_weights, fit_scaling
 from ringwatch.operators.ordered import median_values
 from ringwatch.schema import BASE_FEATURES, SCALED_FEATURES
+from ringwatch.session import store
 
 SEED = 42
+#: The deepest trees that Spark grows; the published forest has no limit.
+MAX_DEPTH = 30
 
 
 @dataclass
@@ -55,18 +65,47 @@ def _filled(name: str, column: str) -> str:
     return f"__{name}_{column}"
 
 
+@dataclass
+class Facts:
+    """What models need to know of a training part: a few numbers per column and class."""
+
+    medians: dict[str, float]
+    scaling: dict[str, tuple[float, float]]
+    weights: dict[int, float]
+    n: int
+
+
+def facts_of(
+    train: DataFrame, features: Sequence[str], scaled: bool = True, fill: str = "median", balanced: bool = True
+) -> Facts:
+    """Measure a training part once; several models can then be fitted from it."""
+    flags = {f.name for f in train.schema.fields if f.dataType.typeName() == "boolean"}
+    numeric = [c for c in features if c not in flags and not c.startswith("channel_")]
+    classes = class_weights(train).collect() if balanced else []
+    return Facts(
+        median_values(train, numeric) if fill == "median" else {},
+        fit_scaling(train, [c for c in SCALED_FEATURES if c in features]) if scaled else {},
+        {row["is_fraud"]: row["weight"] for row in classes},
+        sum(row["n"] for row in classes),
+    )
+
+
 def fit_preparation(
-    train: DataFrame, name: str, features: Sequence[str], scaled: bool, fill: str = "median"
+    train: DataFrame,
+    name: str,
+    features: Sequence[str],
+    scaled: bool,
+    fill: str = "median",
+    facts: Facts | None = None,
 ) -> list:
-    """Stages that scale, fill and assemble ``features``, fitted on ``train``.
+    """Stages that scale, fill and assemble ``features``, fitted on ``train`` or taken from its ``facts``.
 
     Scaling comes first and nulls pass through it; filling by the median commutes
     with it, filling by zero means the mean of a scaled column.
     """
-    flags = {f.name for f in train.schema.fields if f.dataType.typeName() == "boolean"}
-    numeric = [c for c in features if c not in flags and not c.startswith("channel_")]
-    scaling = fit_scaling(train, [c for c in SCALED_FEATURES if c in features]) if scaled else {}
-    medians = median_values(train, numeric) if fill == "median" else {}
+    facts = facts or facts_of(train, features, scaled, fill, balanced=False)
+    scaling = facts.scaling if scaled else {}
+    medians = facts.medians if fill == "median" else {}
 
     def expression(column: str) -> str:
         value = f"cast(`{column}` as double)"
@@ -95,17 +134,18 @@ def _outputs(name: str) -> dict[str, str]:
     }
 
 
-def with_balanced_weights(train: DataFrame) -> tuple[DataFrame, int]:
-    """Add ``weight`` and count the rows; the two classes put two numbers into the plan."""
-    classes = class_weights(train).collect()
+def with_balanced_weights(train: DataFrame, facts: Facts) -> DataFrame:
+    """Add ``weight``; the two classes put two numbers into the plan."""
     weight = F.lit(1.0)
-    for row in classes:
-        weight = F.when(F.col("is_fraud") == row["is_fraud"], F.lit(row["weight"])).otherwise(weight)
-    return train.withColumn("weight", weight), sum(row["n"] for row in classes)
+    for label, value in facts.weights.items():
+        weight = F.when(F.col("is_fraud") == label, F.lit(value)).otherwise(weight)
+    return train.withColumn("weight", weight)
 
 
-def _fit(train: DataFrame, name: str, features: Sequence[str], scaled: bool, fill: str, estimator) -> Fitted:
-    stages = fit_preparation(train, name, features, scaled, fill)
+def _fit(
+    train: DataFrame, name: str, features: Sequence[str], scaled: bool, fill: str, estimator, facts: Facts | None = None
+) -> Fitted:
+    stages = fit_preparation(train, name, features, scaled, fill, facts)
     prepared = PipelineModel(stages).transform(train)
     model = estimator.fit(prepared)
     return Fitted(name, PipelineModel([*stages, model]), list(features))
@@ -118,32 +158,35 @@ def fit_logistic(
     scaled: bool = True,
     max_iter: int = 1000,
     name: str = "logistic",
+    facts: Facts | None = None,
 ) -> Fitted:
     """Logistic regression with balanced weights and an L2 penalty of strength 1.
 
     Spark averages the loss, so a penalty of 1 on the sum is 1/n here; balanced
     weights sum to n.
     """
-    weighted, n = with_balanced_weights(train)
+    facts = facts or facts_of(train, features, scaled, fill)
     estimator = LogisticRegression(
         **_outputs(name),
         weightCol="weight",
         maxIter=max_iter,
         elasticNetParam=0.0,
-        regParam=1.0 / n,
+        regParam=1.0 / facts.n,
         standardization=False,
     )
-    return _fit(weighted, name, features, scaled, fill, estimator)
+    return _fit(with_balanced_weights(train, facts), name, features, scaled, fill, estimator, facts)
 
 
 def fit_forest(
     train: DataFrame,
     features: Sequence[str] = BASE_FEATURES,
     trees: int = 200,
-    depth: int = 10,
+    depth: int = MAX_DEPTH,
     fill: str = "median",
     name: str = "forest",
+    facts: Facts | None = None,
 ) -> Fitted:
+    facts = facts or facts_of(train, features, False, fill)
     estimator = RandomForestClassifier(
         **_outputs(name),
         weightCol="weight",
@@ -153,7 +196,7 @@ def fit_forest(
         maxMemoryInMB=1024,
         seed=SEED,
     )
-    return _fit(with_balanced_weights(train)[0], name, features, False, fill, estimator)
+    return _fit(with_balanced_weights(train, facts), name, features, False, fill, estimator, facts)
 
 
 def boosting(name: str, iterations: int = 100, step: float = 0.1, depth: int = 3) -> GBTClassifier:
@@ -180,8 +223,29 @@ def fit_boosting(
     depth: int = 3,
     fill: str = "median",
     name: str = "boosting",
+    facts: Facts | None = None,
 ) -> Fitted:
-    return _fit(train, name, features, False, fill, boosting(name, iterations, step, depth))
+    return _fit(train, name, features, False, fill, boosting(name, iterations, step, depth), facts)
+
+
+def first_trees(model: GBTClassificationModel, iterations: int) -> GBTClassificationModel:
+    """The model as it was after its first ``iterations`` trees.
+
+    Each tree is grown on the residuals of those before, so that a shorter fit with the
+    same seed has the same trees.
+    """
+    whole = model._java_obj
+    context = SparkContext._active_spark_context
+    tree_class = context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = context._gateway.new_array(tree_class, iterations)
+    weights = context._gateway.new_array(context._jvm.double, iterations)
+    for k, (tree, weight) in enumerate(zip(whole.trees()[:iterations], whole.treeWeights()[:iterations])):
+        trees[k], weights[k] = tree, weight
+    shorter = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(whole.uid(), trees, weights)
+    for param in whole.params():
+        if whole.isSet(param):
+            shorter.set(param, whole.get(param).get())
+    return GBTClassificationModel(shorter)
 
 
 def grid_search(
@@ -196,64 +260,72 @@ def grid_search(
 ) -> tuple[DataFrame, Fitted]:
     """Cross-validated ROC-AUC of every parameter point, and the best one refitted on all rows.
 
-    A call's fold is a hash of its id, which is near-stratified and needs no sort.
+    A call's fold is a hash of its id, which is near-stratified and needs no sort. Boosting
+    is fitted once per step, depth and fold with the most iterations; fewer iterations are
+    the first trees of that model.
     """
-    estimator = boosting(name)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(estimator.maxIter, list(iterations))
-        .addGrid(estimator.stepSize, list(steps))
-        .addGrid(estimator.maxDepth, list(depths))
-        .build()
-    )
     stages = fit_preparation(train, name, features, scaled=False)
     prepared = PipelineModel(stages).transform(
         train.withColumn("fold", F.pmod(F.xxhash64("call_id"), F.lit(folds)).cast("int"))
+    ).select("fold", "is_fraud", f"{name}_features")
+    prepared = store(prepared, "grid")
+    evaluator = BinaryClassificationEvaluator(
+        rawPredictionCol=f"{name}_raw", labelCol="is_fraud", metricName="areaUnderROC", numBins=0
     )
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(
-            rawPredictionCol=f"{name}_raw", labelCol="is_fraud", metricName="areaUnderROC", numBins=0
-        ),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    found = search.fit(prepared)
-    rows = [
-        (p[estimator.maxIter], float(p[estimator.stepSize]), p[estimator.maxDepth], float(metric))
-        for p, metric in zip(grid, found.avgMetrics)
-    ]
-    table = train.sparkSession.createDataFrame(rows, "iterations int, step double, depth int, mean_roc_auc double")
-    best = Fitted(name, PipelineModel([*stages, found.bestModel]), list(features))
-    return table.orderBy(F.desc("mean_roc_auc"), "iterations", "step", "depth"), best
+    longest = max(iterations)
+
+    def areas(point: tuple[float, int, int]) -> list[tuple[int, float, int, float]]:
+        step, depth, fold = point
+        model = boosting(name, longest, step, depth).fit(prepared.filter(F.col("fold") != fold))
+        held = prepared.filter(F.col("fold") == fold)
+        return [
+            (n, float(step), depth, float(evaluator.evaluate(first_trees(model, n).transform(held)))) for n in iterations
+        ]
+
+    points = list(itertools.product(steps, depths, range(folds)))
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = [row for rows in pool.map(areas, points) for row in rows]
+    each = train.sparkSession.createDataFrame(found, "iterations int, step double, depth int, area double")
+    table = each.groupBy("iterations", "step", "depth").agg(F.avg("area").alias("mean_roc_auc"))
+    ranked = table.orderBy(F.desc("mean_roc_auc"), "iterations", "step", "depth")
+    top = ranked.first()
+    model = boosting(name, top["iterations"], top["step"], top["depth"]).fit(prepared)
+    return ranked, Fitted(name, PipelineModel([*stages, model]), list(features))
+
+
+def vote(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Mean of the probabilities ``<name>_p``, as the columns of a model called ``vote``."""
+    total = sum((F.col(f"{n}_p") for n in names[1:]), F.col(f"{names[0]}_p"))
+    return df.withColumn("vote_p", total / len(names)).withColumn("vote_prediction", (F.col("vote_p") > 0.5).cast("int"))
 
 
 def soft_vote(df: DataFrame, members: Sequence[Fitted]) -> DataFrame:
     """Mean of the members' probabilities; each member only adds columns, so nothing is joined."""
     for member in members:
         df = member.score(df)
-    total = sum((F.col(f"{m.name}_p") for m in members[1:]), F.col(f"{members[0].name}_p"))
-    return df.withColumn("vote_p", total / len(members)).withColumn("vote_prediction", (F.col("vote_p") > 0.5).cast("int"))
+    return vote(df, [m.name for m in members])
 
 
-def scored_metrics(df: DataFrame, name: str) -> DataFrame:
-    """Metrics of the columns that the model ``name`` added."""
-    view = df.select(
-        "is_fraud", F.col(f"{name}_prediction").alias("prediction"), F.col(f"{name}_p").alias("probability_fraud")
+def compare_models(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One metric row per model that has scored ``df``, all from one pass over it."""
+    stacked = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(n).alias("model"), F.col(f"{n}_prediction").alias("prediction"), F.col(f"{n}_p").alias("p"))
+                for n in names
+            ]
+        )
     )
-    return evaluate(view).select(F.lit(name).alias("model"), "*")
+    # Scoring is the costly part: both measures read what is stored.
+    long = store(df.select("is_fraud", stacked), "scored-models")
+    areas = roc_auc(long, "p", ["model"])
+    # One row per model on either side.
+    return classification_metrics(long, ["model"]).join(areas, "model").select("model", *METRICS)
 
 
-def compare_models(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Metric rows of several models that have scored ``df``."""
-    tables = [scored_metrics(df, name) for name in names]
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table)
-    return result
+def scored_metrics(df: DataFrame, name: str) -> DataFrame:
+    """Metrics of the columns that the model ``name`` added."""
+    return compare_models(df, [name])
 
 
 def best_model(metrics: DataFrame, order: Sequence[str]) -> str:
@@ -262,12 +334,22 @@ def best_model(metrics: DataFrame, order: Sequence[str]) -> str:
     return max(order, key=lambda name: area[name])
 
 
+def mark_best(metrics: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``metrics`` with a ``best`` mark on the model that :func:`best_model` picks."""
+    return metrics.withColumn("best", F.col("model") == best_model(metrics, order))
+
+
 def score_calls(df: DataFrame, fitted: Fitted, keep: Sequence[str] = ("call_id",)) -> DataFrame:
     """Class, fraud probability, confidence in the class, and risk band for each call."""
-    p = F.col(f"{fitted.name}_p")
-    return fitted.score(df).select(
+    return call_scores(fitted.score(df), fitted.name, keep)
+
+
+def call_scores(scored: DataFrame, name: str, keep: Sequence[str] = ("call_id",)) -> DataFrame:
+    """The same from the columns that the model ``name`` has added."""
+    p = F.col(f"{name}_p")
+    return scored.select(
         *keep,
-        F.col(f"{fitted.name}_prediction").alias("prediction"),
+        F.col(f"{name}_prediction").alias("prediction"),
         p.alias("fraud_probability"),
         F.greatest(p, 1 - p).alias("confidence"),
         probability_band(p).alias("risk_band"),
@@ -308,6 +390,20 @@ def coefficient_report(df: DataFrame, fitted: Fitted) -> DataFrame:
     return _table(df, ranked, "feature string, coef double, abs_coef double, rank int")
 
 
+def logistic_gradient(train: DataFrame, fitted: Fitted) -> DataFrame:
+    """Per feature, the gradient of the penalised objective at the fitted coefficients, per row: 0 at the optimum."""
+    facts = facts_of(train, fitted.features, scaled=False, fill="none")
+    scored = fitted.pipeline.transform(with_balanced_weights(train, facts))
+    error = F.col("weight") * (vector_to_array(f"{fitted.name}_probability")[1] - F.col("is_fraud"))
+    inputs = vector_to_array(f"{fitted.name}_features")
+    coefficients = list(map(float, fitted.estimator.coefficients))
+    sums = scored.agg(
+        *[(F.sum(error * inputs[k]) + F.lit(c)).alias(f) for k, (f, c) in enumerate(zip(fitted.features, coefficients))]
+    )
+    long = sums.unpivot([], fitted.features, "feature", "gradient")
+    return long.withColumn("gradient", F.abs(F.col("gradient")) / facts.n)
+
+
 def compare_importances(permutation: DataFrame, impurity: DataFrame) -> DataFrame:
     """Both importances per feature, by the permutation one; one row per feature on each side."""
     return (

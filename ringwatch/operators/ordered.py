@@ -63,6 +63,44 @@ def row_numbers(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
     )
 
 
+def mid_ranks(df: DataFrame, value: str, spread_by: Sequence[str], name: str = "mid_rank") -> DataFrame:
+    """Add the rank of ``value`` in the whole table, ties at their middle; sorts one row per distinct value."""
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running_totals(counts, [value], ["__n"])
+    ranks = placed.select(value, "__n", (F.col("__n_before") + (F.col("__n") + 1) / 2).alias(name))
+    return attach_per_key(df, ranks, [value], "__n", spread_by).drop("__n")
+
+
+def random_choices(df: DataFrame, key: str, size: int, repeats: int, seed: int) -> DataFrame:
+    """``size`` rows of ``df`` chosen at random, once per ``repeat``: those with the smallest hashes.
+
+    The hash is of ``key``, repeat and seed, so that the choice is the same wherever a task
+    runs. Rows are counted per bucket of hashes to find the bucket in which the choice
+    ends; only that bucket's rows, one in 65536, are put in order.
+    """
+    text = F.concat_ws(":", F.col(key), F.col("repeat"), F.lit(seed))
+    hashed = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
+        "__hash", F.substring(F.md5(text), 1, 15)
+    )
+    bucketed = hashed.withColumn("__bucket", F.conv(F.substring("__hash", 1, 4), 16, 10).cast("int"))
+    upto = W.partitionBy("repeat").orderBy("__bucket")
+    counts = bucketed.groupBy("repeat", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    last = (
+        counts.withColumn("__upto", F.sum("__n").over(upto))
+        .filter(F.col("__upto") >= size)
+        .groupBy("repeat")
+        .agg(F.min("__bucket").alias("__last"), (size - F.min_by(F.col("__upto") - F.col("__n"), "__bucket")).alias("__left"))
+    )
+    # One row per repeat.
+    placed = bucketed.join(F.broadcast(last), "repeat")
+    within = placed.filter(F.col("__bucket") < F.col("__last"))
+    edge = placed.filter(F.col("__bucket") == F.col("__last")).withColumn(
+        "__place", F.row_number().over(W.partitionBy("repeat").orderBy("__hash", key))
+    )
+    columns = ["repeat", *df.columns]
+    return within.select(*columns).unionByName(edge.filter(F.col("__place") <= F.col("__left")).select(*columns))
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Exact interpolated medians, long form: ``by..., column, median``; nulls ignored.
 

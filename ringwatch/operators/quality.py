@@ -17,6 +17,7 @@ FRAUD_BAND = (0.10, 0.20)
 DURATION_BAND = (0, 3600)
 CONFIDENCE_BAND = (0, 1)
 # --- End of fixed values. ---
+LABELS_SHOWN = 10
 
 
 def unknown_labels(df: DataFrame, allowed: Sequence[str] = CANONICAL_LABELS) -> DataFrame:
@@ -45,6 +46,9 @@ def quality_checks(
         if present:
             aggregates += [F.min(column).alias(f"min_{column}"), F.max(column).alias(f"max_{column}")]
     facts = df.agg(*aggregates)
+    # The first few by name, however many a damaged table has.
+    few = unknown_labels(df).orderBy("label").limit(LABELS_SHOWN)
+    named = few.agg(F.array_join(F.array_sort(F.collect_list("label")), ", ")).scalar()
 
     def within(column: str, low: float, high: float):
         value_ok = (F.col(f"min_{column}") >= low) & (F.col(f"max_{column}") <= high)
@@ -61,7 +65,11 @@ def quality_checks(
             F.coalesce(F.col("rate").between(*fraud_band), F.lit(False)),
             F.concat(F.lit("actual: "), F.coalesce(F.round("rate", 3).cast("decimal(10,3)").cast("string"), F.lit("none"))),
         ),
-        ("known_labels", F.col("odd") == 0, F.when(F.col("odd") == 0, "ok").otherwise(F.format_string("rows: %d", F.col("odd")))),
+        (
+            "known_labels",
+            F.col("odd") == 0,
+            F.when(F.col("odd") == 0, "ok").otherwise(F.format_string("rows: %d, labels: %s", F.col("odd"), named)),
+        ),
     ]
     if has_duration:
         checks.append(("duration_range", within("duration_sec", *DURATION_BAND), span("duration_sec")))

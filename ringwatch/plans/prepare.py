@@ -29,10 +29,11 @@ def labelled_table(raw: DataFrame) -> DataFrame:
 
 @dataclass
 class Prepared:
-    """A feature table with its split; ``features`` in model order."""
+    """A feature table with its split; ``features`` in model order, ``counts`` the calls per prefix it was given."""
 
     table: DataFrame
     features: list[str]
+    counts: DataFrame
 
     @property
     def train(self) -> DataFrame:
@@ -57,10 +58,10 @@ def feature_table(
     wide = feat.add_temporal_features(split)
     if behavioral:
         wide = add_trailing_features(wide, known)
-    counts = feat.prefix_counts(known) if known is not None else None
+    counts = feat.prefix_counts(labelled if known is None else known)
     columns = BEHAVIORAL_FEATURES if behavioral else BASE_FEATURES
     table = feat.build_features(wide, keep=("call_id",), counts=counts).select(*KEPT, *columns)
-    return Prepared(table, list(columns))
+    return Prepared(table, list(columns), counts)
 
 
 def prepare_dataset(raw: DataFrame, fit_on_train: bool = False) -> DataFrame:
@@ -80,4 +81,4 @@ def prepare_behavioral(raw: DataFrame, fit_on_train: bool = False) -> DataFrame:
 def training_table(raw: DataFrame, behavioral: bool = False, fit_on_train: bool = False) -> Prepared:
     """The unscaled feature table, written once, since every fit reads it many times."""
     prepared = feature_table(labelled_table(raw), behavioral, fit_on_train)
-    return Prepared(store(prepared.table, "features"), prepared.features)
+    return Prepared(store(prepared.table, "features"), prepared.features, prepared.counts)

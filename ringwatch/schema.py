@@ -109,8 +109,7 @@ PREFIX_DIGITS = 5
 TEST_SHARE = 0.2
 MAX_RATE_GAP_PP = 1.0
 
-# --- End of fixed values. ---
-
+# Names of columns and features, in the order in which models and tables have them.
 ACTION_FLAGS = [
     "login_after_call",
     "twofa_confirmed_after_call",
@@ -175,3 +174,5 @@ PROJECTION_COLUMNS = [
     "label_5way",
     "confidence_score",
 ]
+
+# --- End of fixed values. ---

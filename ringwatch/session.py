@@ -5,32 +5,36 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_STORED: list[str] = []
-
-
-def local_session(cores: int | str = 8, app: str = "ringwatch") -> SparkSession:
-    """A local[N] session for tests and the benchmark."""
+def local_session(
+    cores: int | str = 8, app: str = "ringwatch", checkpoints: str | None = None
+) -> SparkSession:
+    """A local[N] session for tests and the benchmark; ``checkpoints`` is the folder of stored stages."""
     os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
-        .getOrCreate()
     )
+    if checkpoints:
+        builder = builder.config("spark.checkpoint.dir", checkpoints)
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder: on a cluster that would be lost with a node.
+    The cluster names it in ``spark.checkpoint.dir``; the session helper, tests and the
+    benchmark do so too. Only a local session in which nothing is set falls back to a
+    temporary folder: on a cluster that would be lost with a node.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -44,6 +48,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+@contextmanager
+def job(spark: SparkSession) -> Iterator[str]:
+    """A job's own folder for everything it stores, removed at its end, also after a failure.
+
+    Results that are read lazily must be written or collected before the end. Jobs may
+    follow one another, not be nested.
+    """
+    context = spark.sparkContext
+    outer = checkpoint_root(spark).rpartition("/")[0]
+    context.setCheckpointDir(outer)  # makes a new folder below it
+    folder = context.getCheckpointDir()
+    try:
+        yield folder
+    finally:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        context.setCheckpointDir(outer)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the written rows.
 
@@ -57,19 +80,9 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     The stage boundary of a job: later steps read only the columns they need, and
-    nothing before it is computed twice.
+    nothing before it is computed twice. Within :func:`job` the table goes with the job.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(spark: SparkSession) -> None:
-    """Delete the tables that :func:`store` wrote, once a job has its results."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    while _STORED:
-        path = hadoop(_STORED.pop())
-        path.getFileSystem(configuration).delete(path, True)

@@ -2,25 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ringwatch.functions.texts import digits_only
 from ringwatch.functions.times import normalize_timestamp
 from ringwatch.schema import CALLS
+from ringwatch.session import store
+
+
+CORRUPT = "corrupt_record"
+
+
+def _csv(spark: SparkSession, schema: StructType, multi_line: bool) -> DataFrameReader:
+    # All columns are parsed whatever is asked for, so that a record is damaged or not.
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("columnPruning", False)
+    )
 
 
 def read_calls(spark: SparkSession, path: str, source: str = "csv", multi_line: bool = False) -> DataFrame:
     """Read calls with the declared types; in CSV an empty field and NaN are null.
 
-    ``multi_line`` admits line breaks in quoted text, but then a file is one task.
+    A CSV record with too few or too many fields or with an unreadable value fails the job;
+    :func:`corrupt_records` shows such records. ``multi_line`` admits line breaks in quoted
+    text, but then a file is one task; without it they fail as broken records.
     """
-    reader = spark.read.schema(CALLS)
     if source != "csv":
-        return reader.format(source).load(path)
-    reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
+        return spark.read.schema(CALLS).format(source).load(path)
     numbers = [f.name for f in CALLS.fields if f.dataType.typeName() == "double"]
-    return reader.csv(path).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
+    rows = _csv(spark, CALLS, multi_line).option("mode", "FAILFAST").csv(path)
+    return rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
+
+
+def corrupt_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The CSV records that :func:`read_calls` would fail on, as text; count them for a report."""
+    schema = StructType([*CALLS.fields, StructField(CORRUPT, StringType())])
+    rows = _csv(spark, schema, multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    # Kept with all columns: a reader that is asked for the record alone does not parse it.
+    return store(rows.csv(path).filter(F.col(CORRUPT).isNotNull()), "corrupt-records").select(CORRUPT)
 
 
 def write_calls(df: DataFrame, path: str, sink: str = "parquet", by_date: bool = False) -> None:

@@ -119,6 +119,8 @@ def test_checks_find_each_fault(calls):
         "required_columns": False, "row_count": True, "fraud_rate": True,
         "known_labels": False, "duration_range": False, "confidence_range": False,
     }
+    messages = {r["check_name"]: r["message"] for r in quality.quality_checks(df, (1, 2), (0, 1)).collect()}
+    assert messages["known_labels"] == "rows: 1, labels: nonsense"
     assert [r[0] for r in quality.unknown_labels(df).collect()] == ["nonsense"]
     assert len(quality.quality_checks(df.drop("duration_sec", "confidence_score")).collect()) == 4
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ringwatch.operators import audits, evaluate, models
+from ringwatch.operators import audits, evaluate, models, ordered
 from ringwatch.operators import features as feat
 from ringwatch.plans import train
 from ringwatch.streaming import scoring
@@ -166,6 +166,41 @@ def test_grid_search(data):
     assert best.estimator.getMaxIter() == rows[0]["iterations"]
 
 
+def test_the_first_trees_are_the_shorter_model(data):
+    long, short = (models.fit_boosting(data.train, data.features, iterations=n, depth=2) for n in (4, 2))
+    prefix = models.Fitted("boosting", models.PipelineModel([*long.pipeline.stages[:-1], models.first_trees(long.estimator, 2)]), long.features)
+    a, b = (models.score_calls(data.test, m) for m in (prefix, short))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(models.score_calls(data.test, long)).count() > 0
+
+
+def test_gradient_is_zero_at_the_optimum(data):
+    fitted = models.fit_logistic(data.train, data.features)
+    assert all(r["gradient"] < 1e-4 for r in models.logistic_gradient(data.train, fitted).collect())
+
+
+def test_shared_facts_change_nothing(data):
+    facts = models.facts_of(data.train, data.features)
+    one = models.fit_logistic(data.train, data.features, max_iter=20, facts=facts)
+    two = models.fit_logistic(data.train, data.features, max_iter=20)
+    assert list(one.estimator.coefficients) == pytest.approx(list(two.estimator.coefficients))
+
+
+def test_random_choices(spark):
+    df = spark.range(500).selectExpr("cast(id as string) as call_id", "id as v")
+    rows = ordered.random_choices(df, "call_id", 123, 3, 7).collect()
+    sets = [{r["call_id"] for r in rows if r["repeat"] == k} for k in range(3)]
+    assert [len(s) for s in sets] == [123] * 3 and len(rows) == 369 and sets[0] != sets[1]
+    assert ordered.random_choices(df, "call_id", 0, 3, 7).count() == 0
+    assert ordered.random_choices(df, "call_id", 500, 2, 7).count() == 1000
+
+
+def test_mid_ranks(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0), ("d", 5.0)], "call_id string, s double")
+    got = {r["call_id"]: r["mid_rank"] for r in ordered.mid_ranks(df, "s", ["call_id"]).collect()}
+    assert got == {"a": 1.0, "b": 2.5, "c": 2.5, "d": 4.0}
+
+
 def test_metric_delta(spark):
     make = lambda v: spark.createDataFrame([(v,) * 5], ", ".join(f"{m} double" for m in evaluate.METRICS))
     got = evaluate.metric_delta(make(0.5), make(0.75)).collect()
@@ -183,6 +218,16 @@ def test_stream_scores_like_a_batch(spark, raw, data, fitted, tmp_path):
     assert got.exceptAll(batch).count() == 0
 
 
+def test_stream_features_equal_those_of_training(spark, raw, data, fitted, tmp_path):
+    """A labelled call gets the features its model was trained on, spelled and counted alike."""
+    train.save_for_scoring(data, fitted[0], str(tmp_path / "job"))
+    loaded, counts = train.load_for_scoring(spark, str(tmp_path / "job"))
+    assert loaded.features == data.features
+    live = scoring.live_features(raw, counts).select("call_id", *data.features).distinct()
+    known = data.table.select("call_id", *data.features)
+    assert known.exceptAll(live).count() == 0
+
+
 def test_stream_drops_repeats(spark, raw, tmp_path):
     raw.repartition(2).write.parquet(str(tmp_path / "in"))
     stream = scoring.drop_repeated_calls(scoring.read_call_stream(spark, str(tmp_path / "in")), "60 days")

@@ -1,5 +1,7 @@
 from ringwatch.schema import CALL_COLUMNS
-from ringwatch.sources.calls import load_calls, read_calls, with_parsed_time, write_calls
+import pytest
+
+from ringwatch.sources.calls import corrupt_records, load_calls, read_calls, with_parsed_time, write_calls
 
 
 def test_csv_round_trip_keeps_types_and_nulls(spark, raw, tmp_path):
@@ -49,3 +51,31 @@ def test_column_pruning_reaches_the_events(spark):
     # Not the folder whose calls the session has cached.
     plan = read_event_calls(spark, "/root/testdata/sf0.01").groupBy("channel").count()._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint>" in plan
+
+
+GOOD = ["c1", "+372500", "+372501", "1779624000", "10", "True", "", "False", *["False"] * 5, "", "", "3.0", "Unknown", "0.5"]
+
+
+def csv_of(tmp_path, *records):
+    path = tmp_path / "calls.csv"
+    path.write_text(",".join(CALL_COLUMNS) + "\n" + "".join(record + "\n" for record in records))
+    return str(path)
+
+
+def test_damaged_csv_fails_and_is_shown(spark, tmp_path):
+    odd = [*GOOD[:4], "ten", *GOOD[5:]]
+    path = csv_of(tmp_path, ",".join(GOOD), ",".join(odd), ",".join(GOOD[:9]))
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_calls(spark, path).select("call_id").collect()
+    assert sorted(r[0] for r in corrupt_records(spark, path).collect()) == sorted([",".join(odd), ",".join(GOOD[:9])])
+    assert corrupt_records(spark, csv_of(tmp_path, ",".join(GOOD))).count() == 0
+
+
+def test_line_breaks_in_quotes_need_multi_line(spark, tmp_path):
+    text = [*GOOD]
+    text[CALL_COLUMNS.index("complaint_text")] = '"first\nsecond"'
+    path = csv_of(tmp_path, ",".join(text))
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_calls(spark, path).collect()
+    assert corrupt_records(spark, path).count() == 2
+    assert [r["complaint_text"] for r in read_calls(spark, path, multi_line=True).collect()] == ["first\nsecond"]
