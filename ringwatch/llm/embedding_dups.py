@@ -225,6 +225,7 @@ def embedding_groups(
             F.coalesce("component", "vec_id").alias("component_id"),
         )
     )
-    linked = good.join(whole, ["label", "vector"]).select("vec_id", "n_links", "component_id")
+    # Both sides are read anew, so that Spark can split the rows of a common vector.
+    linked = good.join(store(whole, "hnsw-whole"), ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

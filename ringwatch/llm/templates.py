@@ -145,9 +145,15 @@ def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -
         lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf"), "leaf", "left_semi"
     )
     places = varied.select("leaf", "line", "docs", F.posexplode("tokens").alias("place", "token"))
-    constants = (
-        places.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
-    ).select("leaf", "place", "token")
+    # Stored, as are the right sides of the joins below: Spark splits the rows of a common key only
+    # if both sides come fresh from a shuffle.
+    constants = store(
+        places.groupBy("leaf", "place", "token")
+        .agg(F.sum("docs").alias("docs"))
+        .filter(F.col("docs") >= min_docs)
+        .select("leaf", "place", "token"),
+        "template-constants",
+    )
     # Order does not matter to a sum of hashes, so that no list of a line is built anew.
     kept = (
         places.join(constants, ["leaf", "place", "token"], "left_semi")
@@ -199,7 +205,7 @@ def repeated_lines(
         ),
         "template-distinct",
     )
-    named = line_templates(lines, min_docs, min_constant_percent)
+    named = store(line_templates(lines, min_docs, min_constant_percent), "template-names")
     placed = store(
         candidates.select("row", "doc", "line_no", "leaf", "line").join(named, ["leaf", "line"]).drop("line"),
         "template-places",
@@ -208,11 +214,12 @@ def repeated_lines(
     documents = placed.groupBy("leaf", "template", "row").agg(
         F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "row", "line_no")).alias("first")
     )
-    recurring = (
+    recurring = store(
         documents.groupBy("leaf", "template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))
         .filter(F.col("docs") >= min_docs)
-        .select("leaf", "template", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line"))
+        .select("leaf", "template", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line")),
+        "template-recurring",
     )
     again = placed.join(recurring, ["leaf", "template"]).filter(
         (F.col("row") != F.col("first_row")) | (F.col("line_no") != F.col("first_line"))
