@@ -91,11 +91,19 @@ def number_risk(df: DataFrame) -> DataFrame:
     )
 
 
+def _most_common(history: DataFrame, column: str) -> DataFrame:
+    """The most common value of a column, the smaller on a tie; values are counted before they are compared."""
+    counts = history.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))))
+
+
 def history_summary(history: DataFrame) -> DataFrame:
     """Calls, most common label and channel (the smaller on a tie) and mean duration, one row."""
     return history.agg(
-        F.count(F.lit(1)).alias("calls"),
-        F.mode("label_5way", deterministic=True).alias("top_label"),
-        F.mode("channel", deterministic=True).alias("top_channel"),
-        F.round(F.avg("duration_sec"), 1).alias("mean_duration_sec"),
+        F.count(F.lit(1)).alias("calls"), F.round(F.avg("duration_sec"), 1).alias("mean_duration_sec")
+    ).select(
+        "calls",
+        _most_common(history, "label_5way").scalar().alias("top_label"),
+        _most_common(history, "channel").scalar().alias("top_channel"),
+        "mean_duration_sec",
     )
