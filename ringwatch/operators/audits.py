@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.operators.evaluate import roc_auc
-from ringwatch.operators.models import SEED, Fitted
-from ringwatch.operators.ordered import mid_ranks, random_choices, row_numbers
+from ringwatch.operators.models import SEED, Fitted, FixedScore
+from ringwatch.operators.ordered import mid_ranks, random_choices, random_key, row_numbers
 from ringwatch.session import store
 
 
@@ -20,7 +20,7 @@ def _in_random_order(df: DataFrame, repeats: int, seed: int) -> DataFrame:
     wherever a task runs. All repeats are numbered in one distributed sort.
     """
     repeated = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    shuffled = repeated.withColumn("__order", F.xxhash64("call_id", "repeat", F.lit(seed)))
+    shuffled = repeated.withColumn("__order", random_key("call_id", seed))
     numbered = row_numbers(shuffled, ["repeat", "__order", "call_id"])
     # Every repeat has all rows, so the place within it is the remainder.
     n = df.agg(F.count(F.lit(1))).scalar()
@@ -69,7 +69,7 @@ def single_feature_auc(train: DataFrame, test: DataFrame, features: Sequence[str
 
 
 def permutation_importance(
-    valid: DataFrame, fitted: Fitted, repeats: int = 10, seed: int = SEED
+    valid: DataFrame, fitted: Fitted | FixedScore, repeats: int = 10, seed: int = SEED
 ) -> DataFrame:
     """Mean and population deviation of the AUC lost when a feature is shuffled.
 

@@ -61,6 +61,19 @@ class Fitted:
         )
 
 
+@dataclass
+class FixedScore:
+    """A score by formula in the place of a fitted model: ``probability`` is SQL over ``features``."""
+
+    name: str
+    features: list[str]
+    probability: str
+
+    def score(self, df: DataFrame) -> DataFrame:
+        scored = df.withColumn(f"{self.name}_p", F.expr(self.probability))
+        return scored.withColumn(f"{self.name}_prediction", (F.col(f"{self.name}_p") > 0.5).cast("int"))
+
+
 def _filled(name: str, column: str) -> str:
     return f"__{name}_{column}"
 

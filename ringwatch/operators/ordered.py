@@ -71,6 +71,11 @@ def mid_ranks(df: DataFrame, value: str, spread_by: Sequence[str], name: str = "
     return attach_per_key(df, ranks, [value], "__n", spread_by).drop("__n")
 
 
+def random_key(key: str, seed: int) -> Column:
+    """A text whose order is random for each ``repeat``, the same wherever and whenever a task runs."""
+    return F.substring(F.md5(F.concat_ws(":", F.col(key), F.col("repeat"), F.lit(seed))), 1, 15)
+
+
 def random_choices(df: DataFrame, key: str, size: int, repeats: int, seed: int) -> DataFrame:
     """``size`` rows of ``df`` chosen at random, once per ``repeat``: those with the smallest hashes.
 
@@ -78,9 +83,8 @@ def random_choices(df: DataFrame, key: str, size: int, repeats: int, seed: int)
     runs. Rows are counted per bucket of hashes to find the bucket in which the choice
     ends; only that bucket's rows, one in 65536, are put in order.
     """
-    text = F.concat_ws(":", F.col(key), F.col("repeat"), F.lit(seed))
     hashed = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
-        "__hash", F.substring(F.md5(text), 1, 15)
+        "__hash", random_key(key, seed)
     )
     bucketed = hashed.withColumn("__bucket", F.conv(F.substring("__hash", 1, 4), 16, 10).cast("int"))
     upto = W.partitionBy("repeat").orderBy("__bucket")

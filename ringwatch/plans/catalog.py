@@ -690,6 +690,20 @@ def _(spark, folder):
     )
 
 
+# Valid in either SQL.
+FIXED_FEATURES = ["time_to_next_action_min", "login_after_call", "transfer_after_call"]
+FIXED_SCORE = (
+    "(greatest(0, 1 - coalesce(time_to_next_action_min, 60) / 120) + cast(login_after_call as int) "
+    "+ cast(transfer_after_call as int)) / 3"
+)
+
+
+@_query("permutation_importance_fixed")
+def _(spark, folder):
+    fixed = models.FixedScore("fixed", FIXED_FEATURES, FIXED_SCORE)
+    return _rounded(audits.permutation_importance(labelled_calls(spark, folder), fixed), ["importance", "std"])
+
+
 @_query("logreg_gradient")
 def _(spark, folder):
     data = _data(spark, folder)

@@ -7,7 +7,7 @@ parameters of the queries.
 
 from __future__ import annotations
 
-from ringwatch.plans.catalog import BUSY_CALLS, FILTER, KEYWORD_COLUMNS, LOOKUP_NUMBER, LOOKUP_PREFIX
+from ringwatch.plans.catalog import BUSY_CALLS, FILTER, FIXED_FEATURES, FIXED_SCORE, KEYWORD_COLUMNS, LOOKUP_NUMBER, LOOKUP_PREFIX
 from ringwatch.schema import (
     ACTION_FLAGS,
     BASE_FEATURES,
@@ -274,6 +274,34 @@ def _label_permutation() -> str:
     )
 
 
+def _permutation_importance() -> str:
+    """Each call takes one feature from the next call in a random ring; the last takes it from the first."""
+    ring = (
+        "window ring as (partition by repeat order by substr(md5(call_id || ':' || repeat || ':42'), 1, 15), call_id "
+        "rows between unbounded preceding and unbounded following)"
+    )
+    order = "partition by repeat order by substr(md5(call_id || ':' || repeat || ':42'), 1, 15), call_id"
+    swapped = " union all ".join(
+        f"select {_text(c)} as feature, repeat, is_fraud, {FIXED_SCORE} as score from (select * replace (case when place = n "
+        f"then first_{c} else next_{c} end as {c}) from shuffled)"
+        for c in FIXED_FEATURES
+    )
+    columns = ", ".join(
+        f"lead({c}) over ({order}) as next_{c}, first_value({c}) over ring as first_{c}" for c in FIXED_FEATURES
+    )
+    shuffled = (
+        f"select repeat, call_id, is_fraud, {', '.join(FIXED_FEATURES)}, row_number() over ({order}) as place, "
+        f"count(*) over () / 10 as n, {columns} from labelled, (select unnest(range(10)) as repeat) {ring}"
+    )
+    exact = _auc("swapped", "score", "feature, repeat").replace(", 6) as roc_auc", ", 15) as roc_auc")
+    base = _auc(f"(select is_fraud, {FIXED_SCORE} as score from labelled)", "score").replace(", 6) as roc_auc", ", 15) as roc_auc")
+    return (
+        f"select feature, round(avg(lost), 6) as importance, round(stddev_pop(lost), 6) as std from (select feature, "
+        f"(select roc_auc from ({base})) - roc_auc as lost from ({exact.replace('from swapped', f'from (with shuffled as ({shuffled}) {swapped})')})) "
+        "group by feature"
+    )
+
+
 def _stream_features() -> str:
     columns = {
         "hour": "cast(hour(ts) as int)",
@@ -696,6 +724,7 @@ def _bodies() -> dict[str, str]:
             "when line_p < 0.7 then 'Medium' else 'High' end as risk_band from fixed"
         ),
         "label_permutation_fixed": _label_permutation(),
+        "permutation_importance_fixed": _permutation_importance(),
         "logreg_gradient": " union all ".join(
             f"select {_text(c)} as feature, 0.0::double as gradient" for c in BASE_FEATURES
         ),
