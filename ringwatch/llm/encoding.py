@@ -24,9 +24,9 @@ def _pieces_of(bpe: WordBpe) -> Callable[[str], list[tuple[int, ...]]]:
     ids_of = Cached(lambda piece: tuple([i for part in bpe.parts(piece) for i in ids_of_part[part]]))
 
     def encode(text: str) -> list[tuple[int, ...]]:
-        if "<|" in text or not text.isprintable():
-            return [(bpe.special[p],) if special else ids_of[p] for p, special in bpe.chunks(text)]
-        return list(map(ids_of.__getitem__, text.split()))
+        if bpe.is_plain(text):
+            return list(map(ids_of.__getitem__, text.split()))
+        return [(bpe.special[p],) if special else ids_of[p] for p, special in bpe.chunks(text)]
 
     return encode
 
@@ -36,6 +36,35 @@ def _encoder(spec: str) -> Callable[[str], list[tuple[int, ...]]]:
     return _pieces_of(bpe_of(spec))
 
 
+@lru_cache(maxsize=2)
+def _renderer(spec: str) -> Callable[[str], tuple[int, str, str]]:
+    """A function that gives the number of tokens, the ids as text, and the decoded text.
+
+    Each piece is encoded and decoded once and kept in both forms; neighbours are joined
+    by one space in either.
+    """
+    bpe = bpe_of(spec)
+    ids_of_part = Cached(bpe.encode_part)
+
+    def forms(ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), " ".join(map(str, ids)), bpe.decode(ids)
+
+    of_piece = Cached(lambda piece: forms([i for part in bpe.parts(piece) for i in ids_of_part[part]]))
+
+    def render(text: str) -> tuple[int, str, str]:
+        if bpe.is_plain(text):
+            found = list(map(of_piece.__getitem__, text.split()))
+        else:
+            found = [forms([bpe.special[p]]) if special else of_piece[p] for p, special in bpe.chunks(text)]
+        found = [form for form in found if form[0]]
+        if not found:
+            return 0, "", ""
+        counts, numbers, strings = zip(*found)
+        return sum(counts), " ".join(numbers), " ".join(strings)
+
+    return render
+
+
 def encode_texts(
     docs: DataFrame,
     vocabulary: str,
@@ -91,20 +120,14 @@ def encoding_digests(
     spec = broadcast_spec(docs.sparkSession, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = bpe_of(spec.value)
-        encode = _encoder(spec.value)
-        # Joined once per piece: ids and strings both have one space between neighbours.
-        numbers = Cached(lambda ids: " ".join(map(str, ids)))
-        strings = Cached(bpe.decode)
+        render = _renderer(spec.value)
         for batch in batches:
             counts, id_digests, text_digests = [], [], []
             for cell in batch.column(1):
-                pieces = [ids for ids in encode(cell.as_py() or "") if ids]
-                counts.append(sum(map(len, pieces)))
-                joined = " ".join(map(numbers.__getitem__, pieces))
-                id_digests.append(hashlib.sha256(joined.encode()).hexdigest())
-                decoded = " ".join(map(strings.__getitem__, pieces))
-                text_digests.append(hashlib.sha256(decoded.encode()).hexdigest())
+                count, numbers, strings = render(cell.as_py() or "")
+                counts.append(count)
+                id_digests.append(hashlib.sha256(numbers.encode()).hexdigest())
+                text_digests.append(hashlib.sha256(strings.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_digests), pa.array(text_digests)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -31,9 +31,9 @@ def whole_token_counter(bpe: WordBpe, whole: frozenset[str]) -> Callable[[str],
     of_piece = Cached(count_piece)
 
     def count(text: str) -> int:
-        if "<|" in text or not text.isprintable():
-            return sum(1 if special else of_piece[piece] for piece, special in bpe.chunks(text))
-        return sum(map(of_piece.__getitem__, text.split()))
+        if bpe.is_plain(text):
+            return sum(map(of_piece.__getitem__, text.split()))
+        return sum(1 if special else of_piece[piece] for piece, special in bpe.chunks(text))
 
     return count
 

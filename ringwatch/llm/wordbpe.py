@@ -83,6 +83,10 @@ class WordBpe:
                 for word in piece.split():
                     yield word, False
 
+    def is_plain(self, text: str) -> bool:
+        """Whether ``text.split()`` gives the pieces of :meth:`chunks`, with no special string among them."""
+        return "<|" not in text and not _ODD_SPACE.search(text)
+
     def symbols(self, part: str) -> list[int]:
         """The ids of a pre-token's bytes, that of the last with the word end."""
         data = part.encode()
