@@ -672,9 +672,9 @@ def _(spark, folder):
 
 @_query("metric_delta_fixed")
 def _(spark, folder):
-    table = models.compare_models(fixed_scored(spark, folder), ["rule", "line"])
+    table = _rounded(models.compare_models(fixed_scored(spark, folder), ["rule", "line"]), evaluate.METRICS)
     before, after = (table.filter(F.col("model") == n).drop("model") for n in ("rule", "line"))
-    return _rounded(evaluate.metric_delta(before, after), ["before", "after", "delta"])
+    return _rounded(evaluate.metric_delta(before, after), ["delta"])
 
 
 @_query("score_calls_fixed")
