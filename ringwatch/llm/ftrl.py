@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.llm.tasks import map_batches, send_package
 from ringwatch.llm.wordbpe import Cached
-from ringwatch.llm.words import following, hashed, word_hash
+from ringwatch.llm.words import following, hash_cache, hashed, word_hash
 
 #: Labelled rows that are learned from at most (a few more by chance of the hash).
 TRAIN_ROWS = 16_000
@@ -72,8 +72,8 @@ class Features:
     ):
         self.orders, self.prefixes, self.bits = tuple(orders), tuple(prefixes), bits
         self.lower, self.damping = lower, damping
-        self._cache = Cached(word_hash)
-        self._starts = Cached(lambda word: _grams_of_word(word, self.prefixes))
+        self._cache = hash_cache()
+        self._starts = Cached(lambda word: _grams_of_word(word, self.prefixes), 1 << 17)
 
     def of(self, text: bytes | None) -> tuple[np.ndarray, float]:
         text = text or b""

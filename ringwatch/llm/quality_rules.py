@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.llm.tasks import map_batches, quoted
-from ringwatch.llm.wordbpe import Cached
-from ringwatch.llm.words import following, hashed, repeated_windows, word_hash
+from ringwatch.llm.words import following, hash_cache, hashed, repeated_windows
 
 #: Documents that stand for the trusted side at most (a few more by chance of the hash).
 TRUSTED_ROWS = 20_000
@@ -64,7 +63,7 @@ def ngram_counts(
     """``bucket, trusted, raw``: how often the n-grams of each hash bucket occur; ``trusted`` holds ids."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Cached(word_hash)
+        cache = hash_cache()
         counts = np.zeros((2, 1 << bits), dtype=np.int64)
         waiting: list[list[np.ndarray]] = [[], []]
         size = 0
@@ -134,7 +133,7 @@ class Rules:
 
     def __init__(self, ratios: np.ndarray, orders: Sequence[int], bits: int, min_score: float):
         self._ratios, self._orders, self._bits, self._min_score = ratios, orders, bits, min_score
-        self._cache = Cached(word_hash)
+        self._cache = hash_cache()
 
     def judge(self, text: bytes | None) -> tuple:
         text = text or b""

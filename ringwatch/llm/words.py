@@ -13,10 +13,19 @@ _SHIFT = np.uint64(29)
 
 
 def hashed(words: list[bytes], cache: Cached) -> np.ndarray:
-    """One 64-bit number per word, looked up in a cache of :func:`word_hash`."""
+    """One 64-bit number per word, looked up in a :func:`hash_cache`."""
     return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+# A hash is quickly made anew, so that only frequent words are worth their memory.
+WORD_ENTRIES = 1 << 16
+
+
+def hash_cache() -> Cached:
+    """A cache of :func:`word_hash`."""
+    return Cached(word_hash, WORD_ENTRIES)
+
+
 def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
