@@ -141,9 +141,8 @@ def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -
     A template is a hash of the constants and their places; a line that has too few
     constants is its own template, and so is one that is alone in its leaf.
     """
-    varied = lines.join(
-        lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf"), "leaf", "left_semi"
-    )
+    several = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf")
+    varied = lines.join(store(several, "template-leaves"), "leaf", "left_semi")
     places = varied.select("leaf", "line", "docs", F.posexplode("tokens").alias("place", "token"))
     # Stored, as are the right sides of the joins below: Spark splits the rows of a common key only
     # if both sides come fresh from a shuffle.
