@@ -26,7 +26,7 @@ PLACE_MASK = (1 << PLACE_BITS) - 1
 
 #: Python splits at these four, the vocabulary's rules do not take them for white space.
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
-#: A separator is white space, a word is one of the parts the file's pattern names.
+#: The one letter whose lower case depends on its place in a word for Python, but not for the vocabulary.
 _SIGMA = "Σ"
 
 
