@@ -20,6 +20,7 @@ number of patterns of a few bits, not by the size of the corpus.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -38,6 +39,8 @@ from ringwatch.session import store
 SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 3
+#: Fingerprints of which one task makes the keys.
+FINGERPRINTS_PER_TASK = 20_000
 
 #: The code's length, and its generator x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 LENGTH = 23
@@ -188,7 +191,10 @@ def near_fingerprints(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
                         ["key", "fp", "home"],
                     )
 
-    keyed = map_batches(fingerprints.select("fp"), work, "key long, fp long, home boolean")
+    # A fingerprint becomes some 71 rows: tasks are cut by number, not by the few bytes that they read.
+    tasks = max(1, math.ceil(fingerprints.count() / FINGERPRINTS_PER_TASK))
+    dealt = fingerprints.select("fp").repartition(tasks, "fp")
+    keyed = map_batches(dealt, work, "key long, fp long, home boolean")
     left = keyed.filter("home").select("key", F.col("fp").alias("a"))
     right = keyed.filter("not home").select("key", F.col("fp").alias("b"))
     difference = F.col("a").bitwiseXOR(F.col("b"))
