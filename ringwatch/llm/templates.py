@@ -4,7 +4,8 @@ A line is put into the tree by its number of tokens and its leading tokens, wher
 with digits count as variable; that is a leaf. Within a leaf a token is constant if enough
 lines have it at that place, else it is a variable field. What is left, constants and
 fields, is the line's template. Templates that enough different documents have are
-recurring: the first of their lines stays, all others are dropped.
+recurring, and so are other lines that two documents have word by word: the first of
+their lines stays, all others are dropped.
 
 Nothing is held per leaf: tokens are counted by (leaf, place, token), with counts added
 up in each task first, so that a leaf may have a third of all lines. Only lines of leaves
@@ -30,14 +31,17 @@ from ringwatch.session import store
 MIN_TOKENS = 4
 #: Leading tokens that lead to a leaf, after the number of tokens.
 DEPTH = 3
-#: Documents that make a template recurring, and lines that make a token constant at its place.
+#: Documents that make a general template recurring, and lines that make a token constant at its place.
 MIN_DOCS = 3
+#: Documents that make a line recurring that has the same tokens in all of them.
+EXACT_DOCS = 2
 #: Least percentage of constants in a template with variable fields.
 MIN_CONSTANT_PERCENT = 60
 #: The bitmap of leaves has 2 ** BITMAP_BITS bits (two megabytes).
 BITMAP_BITS = 24
 
 _FIELD = b"<*>"
+_FIELD_HASH = int(np.uint32(xxhash.xxh32_intdigest(_FIELD)).view(np.int32))
 _HAS_DIGIT = re.compile(rb"[0-9]")
 _VARIABLE = re.compile(rb"[^\s]*[0-9][^\s]*")
 
@@ -59,12 +63,12 @@ def _signed(data: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def lines_of(text: bytes | None, depth: int, min_tokens: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Number, leaf and tokens of the lines that are put into the tree."""
+def lines_of(text: bytes | None, depth: int, min_tokens: int) -> Iterator[tuple[int, int, list[bytes], bytes]]:
+    """Number, leaf, tokens and text of the lines that are put into the tree."""
     for number, line in enumerate((text or b"").split(b"\n")):
         tokens = tokens_of(line)
         if len(tokens) >= min_tokens:
-            yield number, leaf_of(tokens, depth), tokens
+            yield number, leaf_of(tokens, depth), tokens, line
 
 
 def recurring_leaves(docs: DataFrame, min_docs: int, depth: int, min_tokens: int) -> DataFrame:
@@ -74,7 +78,7 @@ def recurring_leaves(docs: DataFrame, min_docs: int, depth: int, min_tokens: int
         for batch in batches:
             leaves: list[int] = []
             for text in batch.column(0).cast(pa.binary()):
-                leaves.extend({leaf for _, leaf, _ in lines_of(text.as_py(), depth, min_tokens)})
+                leaves.extend({leaf for _, leaf, _, _ in lines_of(text.as_py(), depth, min_tokens)})
             yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64())], ["leaf"])
 
     found = map_batches(docs, work, "leaf long")
@@ -97,7 +101,8 @@ def candidate_lines(docs: DataFrame, bitmap: np.ndarray, depth: int, min_tokens:
     """``row, doc, line_no, leaf, line, tokens`` of the lines in marked leaves.
 
     ``docs`` is ``row`` (a hash that stands for the row), ``doc`` (the document's id) and
-    ``text``. ``line`` and ``tokens`` are hashes, of the line and of each of its tokens.
+    ``text``. ``line`` and ``tokens`` are hashes, of the line as it is (but for white space) and of each of its
+    tokens, with fields for those that have digits.
     """
     marks = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -106,14 +111,14 @@ def candidate_lines(docs: DataFrame, bitmap: np.ndarray, depth: int, min_tokens:
         for batch in batches:
             at, numbers, leaves, lines, hashes = [], [], [], [], []
             for k, text in enumerate(batch.column(2).cast(pa.binary())):
-                for number, leaf, tokens in lines_of(text.as_py(), depth, min_tokens):
+                for number, leaf, tokens, line in lines_of(text.as_py(), depth, min_tokens):
                     place = (leaf & 0xFFFFFFFFFFFFFFFF) >> (64 - bits)
                     if not bitmap[place >> 3] >> (place & 7) & 1:
                         continue
                     at.append(k)
                     numbers.append(number)
                     leaves.append(leaf)
-                    lines.append(_signed(b" ".join(tokens)))
+                    lines.append(_signed(b" ".join(line.split())))
                     digest = xxhash.xxh32_intdigest
                     hashes.append(np.array([digest(t) for t in tokens], dtype=np.uint32).view(np.int32))
             rows = pa.array(at, pa.int64())
@@ -136,36 +141,36 @@ def candidate_lines(docs: DataFrame, bitmap: np.ndarray, depth: int, min_tokens:
 
 
 def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -> DataFrame:
-    """``leaf, line, tokens, docs`` (each line once) -> ``leaf, line, template``.
+    """``leaf, line, tokens, rows`` (each line once) -> ``leaf, line, template`` of the lines that have a general one.
 
-    A template is a hash of the constants and their places; a line that has too few
-    constants is its own template, and so is one that is alone in its leaf.
+    A template is a hash of the constants and their places. Lines that have too few
+    constants, or neither a variable field nor a token with digits, are not in the result.
     """
     several = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf")
     varied = lines.join(store(several, "template-leaves"), "leaf", "left_semi")
-    places = varied.select("leaf", "line", "docs", F.posexplode("tokens").alias("place", "token"))
+    places = varied.select("leaf", "line", "rows", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
     # Stored, as are the right sides of the joins below: Spark splits the rows of a common key only
     # if both sides come fresh from a shuffle.
     constants = store(
         places.groupBy("leaf", "place", "token")
-        .agg(F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= min_docs)
-        .select("leaf", "place", "token"),
+        .agg(F.sum("rows").alias("support"))
+        .filter(F.col("support") >= min_docs),
         "template-constants",
     )
     # Order does not matter to a sum of hashes, so that no list of a line is built anew.
     kept = (
         places.join(constants, ["leaf", "place", "token"], "left_semi")
         .groupBy("leaf", "line")
-        .agg(F.sum(F.xxhash64("place", "token").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("constants"))
-    )
-    n_tokens = F.size("tokens")
-    general = (F.col("constants") < n_tokens) & (100 * F.col("constants") >= min_constant_percent * n_tokens)
-    return lines.join(kept, ["leaf", "line"], "left").select(
-        "leaf",
-        "line",
-        F.when(general, F.xxhash64("sum", "constants")).otherwise(F.col("line")).alias("template"),
+        .agg(
+            F.sum(F.xxhash64("place", "token").cast("decimal(38,0)")).alias("sum"),
+            F.count(F.lit(1)).alias("constants"),
+            F.bool_or(F.col("token") == _FIELD_HASH).alias("field"),
+            F.first("n").alias("n"),
+        )
     )
+    varies = F.col("field") | (F.col("constants") < F.col("n"))
+    enough = 100 * F.col("constants") >= min_constant_percent * F.col("n")
+    return kept.filter(varies & enough).select("leaf", "line", F.xxhash64("sum", "constants").alias("template"))
 
 
 def _row(id_column: str, text_column: str) -> Column:
@@ -177,9 +182,24 @@ def _row(id_column: str, text_column: str) -> Column:
     )
 
 
+def _firsts(placed: DataFrame, group: str, min_docs: int) -> DataFrame:
+    """``leaf, <group>, first_row, first_line`` of the groups that ``min_docs`` different documents have."""
+    # Different documents first, in each task; then how many a group has.
+    documents = placed.groupBy("leaf", group, "row").agg(
+        F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "row", "line_no")).alias("first")
+    )
+    return (
+        documents.groupBy("leaf", group)
+        .agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))
+        .filter(F.col("docs") >= min_docs)
+        .select("leaf", group, F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line"))
+    )
+
+
 def repeated_lines(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
+    exact_docs: int = EXACT_DOCS,
     depth: int = DEPTH,
     min_tokens: int = MIN_TOKENS,
     min_constant_percent: int = MIN_CONSTANT_PERCENT,
@@ -187,40 +207,31 @@ def repeated_lines(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``row, line_no``: the lines to be dropped, all of a recurring template but its first.
+    """``row, line_no``: the lines to be dropped, all of a recurring template or line but its first.
 
+    A general template recurs in ``min_docs`` documents, a line of the same tokens in ``exact_docs``.
     First is the smallest (id, row, line number), null ids last. ``row`` is the hash of id and text.
     """
     slim = docs.select(
         _row(id_column, text_column).alias("row"), F.col(quoted(id_column)).alias("doc"), F.col(quoted(text_column)).alias("text")
     )
-    leaves = recurring_leaves(slim.select("text"), min_docs, depth, min_tokens)
+    leaves = recurring_leaves(slim.select("text"), min(min_docs, exact_docs), depth, min_tokens)
     marked = candidate_lines(slim, bitmap_of(leaves, bits), depth, min_tokens, bits)
     candidates = store(marked, "template-lines")
     lines = store(
         candidates.groupBy("leaf", "line").agg(
             F.first("tokens").alias("tokens"),
-            F.count(F.lit(1)).alias("docs"),
+            F.count(F.lit(1)).alias("rows"),
         ),
         "template-distinct",
     )
     named = store(line_templates(lines, min_docs, min_constant_percent), "template-names")
-    placed = store(
-        candidates.select("row", "doc", "line_no", "leaf", "line").join(named, ["leaf", "line"]).drop("line"),
-        "template-places",
-    )
-    # Different documents first, in each task; then how many a template has.
-    documents = placed.groupBy("leaf", "template", "row").agg(
-        F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "row", "line_no")).alias("first")
-    )
-    recurring = store(
-        documents.groupBy("leaf", "template")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))
-        .filter(F.col("docs") >= min_docs)
-        .select("leaf", "template", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line")),
-        "template-recurring",
-    )
-    again = placed.join(recurring, ["leaf", "template"]).filter(
+    placed = candidates.select("row", "doc", "line_no", "leaf", "line")
+    templates = store(_firsts(placed.join(named, ["leaf", "line"]), "template", min_docs), "template-recurring")
+    general = store(named.join(templates, ["leaf", "template"]).drop("template"), "template-general")
+    exact = store(_firsts(placed, "line", exact_docs), "template-exact")
+    firsts = store(general.unionByName(exact.join(general, ["leaf", "line"], "left_anti")), "template-firsts")
+    again = placed.join(firsts, ["leaf", "line"]).filter(
         (F.col("row") != F.col("first_row")) | (F.col("line_no") != F.col("first_line"))
     )
     return again.select("row", "line_no")
