@@ -2,7 +2,7 @@
 
 A line is put into the tree by its number of tokens and its leading tokens, where tokens
 with digits count as variable; that is a leaf. Within a leaf a token is constant if enough
-lines have it at that place, else it is a variable field. What is left, constants and
+lines have it at that place, as measured by the line's other tokens, else it is a variable field. What is left, constants and
 fields, is the line's template. Templates that enough different documents have are
 recurring, and so are other lines that two documents have word by word: the first of
 their lines stays, all others are dropped.
@@ -31,12 +31,14 @@ from ringwatch.session import store
 MIN_TOKENS = 4
 #: Leading tokens that lead to a leaf, after the number of tokens.
 DEPTH = 3
-#: Documents that make a general template recurring, and lines that make a token constant at its place.
+#: Documents that make a general template recurring, and lines that a constant has at least.
 MIN_DOCS = 3
 #: Documents that make a line recurring that has the same tokens in all of them.
 EXACT_DOCS = 2
 #: Least percentage of constants in a template with variable fields.
 MIN_CONSTANT_PERCENT = 60
+#: Least percentage of the usual support of a line that a constant has, and all constants together.
+SHARE_PERCENT = 50
 #: The bitmap of leaves has 2 ** BITMAP_BITS bits (two megabytes).
 BITMAP_BITS = 24
 
@@ -143,34 +145,50 @@ def candidate_lines(docs: DataFrame, bitmap: np.ndarray, depth: int, min_tokens:
 def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -> DataFrame:
     """``leaf, line, tokens, rows`` (each line once) -> ``leaf, line, template`` of the lines that have a general one.
 
-    A template is a hash of the constants and their places. Lines that have too few
-    constants, or neither a variable field nor a token with digits, are not in the result.
+    The support of a token is the number of rows of its leaf that have it at its place. Of
+    a line's supports in falling order, the one that the least number of constants reaches
+    is the line's usual support; tokens with ``SHARE_PERCENT`` of that are constants. So
+    all counts may grow alike, and no value of a field becomes a constant by number alone.
+
+    A template is a hash of the constants and their places; as many rows must have them
+    together, or words met by chance. Lines that have too few constants, or neither a
+    variable field nor a token with digits, are not in the result.
     """
     several = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf")
     varied = lines.join(store(several, "template-leaves"), "leaf", "left_semi")
     places = varied.select("leaf", "line", "rows", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
     # Stored, as are the right sides of the joins below: Spark splits the rows of a common key only
     # if both sides come fresh from a shuffle.
-    constants = store(
+    supports = store(
         places.groupBy("leaf", "place", "token")
         .agg(F.sum("rows").alias("support"))
         .filter(F.col("support") >= min_docs),
-        "template-constants",
+        "template-supports",
     )
-    # Order does not matter to a sum of hashes, so that no list of a line is built anew.
-    kept = (
-        places.join(constants, ["leaf", "place", "token"], "left_semi")
-        .groupBy("leaf", "line")
+    frequent = places.join(supports, ["leaf", "place", "token"]).select("leaf", "line", "n", "rows", "place", "token", "support")
+    found = (
+        frequent.groupBy("leaf", "line")
         .agg(
-            F.sum(F.xxhash64("place", "token").cast("decimal(38,0)")).alias("sum"),
-            F.count(F.lit(1)).alias("constants"),
-            F.bool_or(F.col("token") == _FIELD_HASH).alias("field"),
             F.first("n").alias("n"),
+            F.first("rows").alias("rows"),
+            F.sort_array(F.collect_list(F.struct("support", "place", "token")), asc=False).alias("at"),
         )
+        .withColumn("least", F.ceil(F.col("n") * min_constant_percent / 100).cast("int"))
+        .filter(F.size("at") >= F.col("least"))
+        .withColumn("usual", F.element_at("at", F.col("least"))["support"])
+        .withColumn("at", F.filter("at", lambda x: 100 * x["support"] >= SHARE_PERCENT * F.col("usual")))
+    )
+    varies = F.exists("at", lambda x: x["token"] == _FIELD_HASH) | (F.size("at") < F.col("n"))
+    constants = F.sort_array(F.transform("at", lambda x: F.struct(x["place"], x["token"])))
+    templates = store(
+        found.filter(varies).select("leaf", "line", "rows", "usual", F.xxhash64(constants).alias("template")),
+        "template-found",
+    )
+    together = templates.groupBy("leaf", "template").agg(F.sum("rows").alias("rows"), F.max("usual").alias("usual"))
+    true = store(
+        together.filter(100 * F.col("rows") >= SHARE_PERCENT * F.col("usual")).select("leaf", "template"), "template-true"
     )
-    varies = F.col("field") | (F.col("constants") < F.col("n"))
-    enough = 100 * F.col("constants") >= min_constant_percent * F.col("n")
-    return kept.filter(varies & enough).select("leaf", "line", F.xxhash64("sum", "constants").alias("template"))
+    return templates.select("leaf", "line", "template").join(true, ["leaf", "template"], "left_semi")
 
 
 def _row(id_column: str, text_column: str) -> Column:

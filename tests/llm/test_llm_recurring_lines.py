@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from ringwatch.llm.templates import drop_repeated_lines
 
 
@@ -23,3 +25,12 @@ def test_passage_of_exactly_two_documents(spark):
     texts = dropped(spark, rows)
     assert [passage in texts[k] for k in range(4)] == [False, True, False, False]
     assert [texts[k].count("\n") for k in range(4)] == [2, 2, 1, 2]
+
+
+@pytest.mark.parametrize("n", [500, 50_000])
+def test_template_of_two_fields_at_any_size(spark, n):
+    rng = random.Random(n)
+    values = [word(rng) for _ in range(500)]
+    rows = [(k, f"please contact our {rng.choice(values)} office in {rng.choice(values)} today") for k in range(n)]
+    texts = dropped(spark, rows)
+    assert [k for k in range(n) if texts[k]] == [0]
