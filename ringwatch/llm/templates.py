@@ -35,8 +35,9 @@ DEPTH = 3
 MIN_DOCS = 3
 #: Documents that make a line recurring that has the same tokens in all of them.
 EXACT_DOCS = 2
-#: Least percentage of constants in a template with variable fields.
+#: Least percentage of constants in a template with variable fields, after the leading tokens, and least number.
 MIN_CONSTANT_PERCENT = 60
+MIN_CONSTANTS = 3
 #: Least percentage of the usual support of a line that a constant has, and all constants together.
 SHARE_PERCENT = 50
 #: The bitmap of leaves has 2 ** BITMAP_BITS bits (two megabytes).
@@ -142,7 +143,7 @@ def candidate_lines(docs: DataFrame, bitmap: np.ndarray, depth: int, min_tokens:
     )
 
 
-def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -> DataFrame:
+def line_templates(lines: DataFrame, min_docs: int, depth: int, min_constant_percent: int) -> DataFrame:
     """``leaf, line, tokens, rows`` (each line once) -> ``leaf, line, template`` of the lines that have a general one.
 
     The support of a token is the number of rows of its leaf that have it at its place. Of
@@ -150,13 +151,28 @@ def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -
     is the line's usual support; tokens with ``SHARE_PERCENT`` of that are constants. So
     all counts may grow alike, and no value of a field becomes a constant by number alone.
 
+    The leading tokens are in common to the leaf and say nothing, nor do tokens with digits:
+    only words after them count as constants, ``MIN_CONSTANTS`` at least and
+    ``min_constant_percent`` of the places after the leading ones.
+
     A template is a hash of the constants and their places; as many rows must have them
     together, or words met by chance. Lines that have too few constants, or neither a
     variable field nor a token with digits, are not in the result.
     """
     several = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf")
     varied = lines.join(store(several, "template-leaves"), "leaf", "left_semi")
-    places = varied.select("leaf", "line", "rows", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
+    tail = F.slice("tokens", depth + 1, F.size("tokens"))
+    places = (
+        varied.select(
+            "leaf",
+            "line",
+            "rows",
+            F.size(tail).alias("n"),
+            F.array_contains(F.slice("tokens", 1, depth), _FIELD_HASH).alias("field"),
+            F.posexplode(tail).alias("place", "token"),
+        )
+        .filter((F.col("n") >= MIN_CONSTANTS) & (F.col("token") != _FIELD_HASH))
+    )
     # Stored, as are the right sides of the joins below: Spark splits the rows of a common key only
     # if both sides come fresh from a shuffle.
     supports = store(
@@ -165,20 +181,21 @@ def line_templates(lines: DataFrame, min_docs: int, min_constant_percent: int) -
         .filter(F.col("support") >= min_docs),
         "template-supports",
     )
-    frequent = places.join(supports, ["leaf", "place", "token"]).select("leaf", "line", "n", "rows", "place", "token", "support")
+    frequent = places.join(supports, ["leaf", "place", "token"]).select("leaf", "line", "n", "field", "rows", "place", "token", "support")
     found = (
         frequent.groupBy("leaf", "line")
         .agg(
             F.first("n").alias("n"),
+            F.first("field").alias("field"),
             F.first("rows").alias("rows"),
             F.sort_array(F.collect_list(F.struct("support", "place", "token")), asc=False).alias("at"),
         )
-        .withColumn("least", F.ceil(F.col("n") * min_constant_percent / 100).cast("int"))
+        .withColumn("least", F.greatest(F.lit(MIN_CONSTANTS), F.ceil(F.col("n") * min_constant_percent / 100).cast("int")))
         .filter(F.size("at") >= F.col("least"))
         .withColumn("usual", F.element_at("at", F.col("least"))["support"])
         .withColumn("at", F.filter("at", lambda x: 100 * x["support"] >= SHARE_PERCENT * F.col("usual")))
     )
-    varies = F.exists("at", lambda x: x["token"] == _FIELD_HASH) | (F.size("at") < F.col("n"))
+    varies = F.col("field") | (F.size("at") < F.col("n"))
     constants = F.sort_array(F.transform("at", lambda x: F.struct(x["place"], x["token"])))
     templates = store(
         found.filter(varies).select("leaf", "line", "rows", "usual", F.xxhash64(constants).alias("template")),
@@ -243,7 +260,7 @@ def repeated_lines(
         ),
         "template-distinct",
     )
-    named = store(line_templates(lines, min_docs, min_constant_percent), "template-names")
+    named = store(line_templates(lines, min_docs, depth, min_constant_percent), "template-names")
     placed = candidates.select("row", "doc", "line_no", "leaf", "line")
     templates = store(_firsts(placed.join(named, ["leaf", "line"]), "template", min_docs), "template-recurring")
     general = store(named.join(templates, ["leaf", "template"]).drop("template"), "template-general")
