@@ -2,8 +2,9 @@
 
 Equal vectors are one class first, so that copies cost one node. The classes of a label
 are dealt to shards of bounded size by a hash. Each shard builds its graph and audits it:
-for a sample of its vectors the true neighbours are found by a full scan, and the beam is
-widened until the search finds enough of them. Then all classes of a label are looked up in
+for a sample of its vectors that have near ones, and of visitors from other shards, the true
+neighbours are found by a full scan, and the beam is widened until the search finds enough of
+them; a shard with too few such vectors for an audit is scanned. Then all classes of a label are looked up in
 every shard of that label, in chunks of bounded size, and links are verified by the
 cosine in double precision. A chunk and a shard give the number of links of each query and
 a spanning forest of those links, so that a dense group never becomes a table of its pairs.
@@ -11,6 +12,8 @@ a spanning forest of those links, so that a dense group never becomes a table of
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,8 +28,12 @@ THRESHOLD = 0.98
 #: Vectors of a shard, and of a chunk that is looked up at once (about, as a hash deals them).
 SHARD_ROWS = 8192
 CHUNK_ROWS = 2048
-#: Vectors of a shard that are audited, the share of their links that a search must find, the first beam.
+#: Vectors with partners that are audited, and as many of other shards; fewer than the least say too little.
 AUDITED = 512
+LEAST_AUDITED = 64
+#: Vectors whose partners are looked for at once.
+AUDIT_BLOCK = 512
+#: The share of their links that a search must find, the first beam.
 AUDIT_RECALL = 0.98
 FIRST_BEAM = 16
 # Searches look a little wider than the threshold, for the graph has single precision.
@@ -43,16 +50,45 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def audited_beam(graph: Hnsw, units: np.ndarray, threshold: float) -> tuple[int, float]:
-    """The first beam that finds enough, and the recall it has in the audit; beam 0 means: scan the shard."""
-    sample = np.unique(np.linspace(0, len(units) - 1, min(AUDITED, len(units))).astype(int))
-    truth = [set(np.flatnonzero(units @ units[k] >= threshold).tolist()) for k in sample]
-    links = sum(map(len, truth))
+def _with_partners(units: np.ndarray, queries: np.ndarray, own: np.ndarray | None, threshold: float) -> list[tuple]:
+    """(query, its true neighbours) of the queries that have any, up to ``AUDITED``; ``own`` are their rows in ``units``."""
+    found: list[tuple] = []
+    for start in range(0, len(queries), AUDIT_BLOCK):
+        block = queries[start : start + AUDIT_BLOCK]
+        near = block @ units.T >= threshold
+        if own is not None:
+            near[np.arange(len(block)), own[start : start + AUDIT_BLOCK]] = False
+        for k in np.flatnonzero(near.any(axis=1)):
+            found.append((block[k].astype(np.float32), set(np.flatnonzero(near[k]).tolist())))
+            if len(found) == AUDITED:
+                return found
+    return found
+
+
+def audited_beam(graph: Hnsw, units: np.ndarray, threshold: float, others: np.ndarray | None = None) -> tuple[int, float]:
+    """The first beam that finds enough, and the recall it has in the audit; beam 0 means: scan the shard.
+
+    Only vectors with partners are audited, a vector is no partner of itself. ``others``
+    are vectors of other shards. The recall is the least of four: over all links and as the
+    mean of the queries, of the shard's own vectors and of the others.
+    """
+    # A stride that shares no factor with the number of rows, so that each comes once.
+    stride = next(k for k in range(max(1, int(0.618 * len(units))), len(units) + 2) if math.gcd(k, len(units)) == 1)
+    order = np.arange(len(units)) * stride % len(units)
+    sides = [_with_partners(units, units[order], order, threshold)]
+    if len(sides[0]) < LEAST_AUDITED:
+        return 0, 1.0
+    if others is not None and len(others):
+        sides.append(_with_partners(units, others, None, threshold))
     beam = FIRST_BEAM
     while True:
-        met = sum(len(t.intersection(graph.within(graph.vectors[k], threshold - SLACK, beam))) for k, t in zip(sample, truth))
-        if met >= AUDIT_RECALL * links:
-            return beam, met / max(links, 1)
+        recall = 1.0
+        for side in filter(None, sides):
+            sizes = np.array([len(truth) for _, truth in side])
+            met = np.array([len(truth.intersection(graph.within(q, threshold - SLACK, beam))) for q, truth in side])
+            recall = min(recall, float(met.sum() / sizes.sum()), float((met / sizes).mean()))
+        if recall >= AUDIT_RECALL:
+            return beam, recall
         if beam >= len(units):
             return 0, 1.0
         beam *= 2
@@ -77,10 +113,14 @@ def build_shards(classes: DataFrame, threshold: float) -> DataFrame:
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
+        others = rows[rows["guest"]]
+        rows = rows[~rows["guest"]]
+        if not len(rows):  # the hash dealt nothing else to this shard
+            return pd.DataFrame(columns=names)
         raw = _matrix(rows["vector"])
         units = _unit(raw)
         graph = Hnsw(units, rows["vec_id"].tolist())
-        beam, recall = audited_beam(graph, units, threshold)
+        beam, recall = audited_beam(graph, units, threshold, _unit(_matrix(others["vector"])) if len(others) else None)
         first = rows.iloc[0]
         return pd.DataFrame(
             {
@@ -99,11 +139,19 @@ def build_shards(classes: DataFrame, threshold: float) -> DataFrame:
 
     types = dict(classes.dtypes)
     single = types["vector"] == "array<float>"
-    return classes.groupBy("label", "dim", "shard").applyInPandas(
-        build,
+    schema = (
         f"label {types['label']}, dim int, shard int, n_chunks int, beam int, recall double, "
-        f"ids array<{types['vec_id']}>, copies array<long>, raw binary, graph binary",
+        f"ids array<{types['vec_id']}>, copies array<long>, raw binary, graph binary"
+    )
+    names = [part.split()[0] for part in schema.split(", ")]
+    # About AUDITED vectors visit each shard from the others, for its audit.
+    drawn = F.pmod(F.xxhash64("vec_id", F.lit("guest")), F.lit(SHARD_ROWS)) < AUDITED
+    away = 1 + F.pmod(F.xxhash64("vec_id", F.lit("host")), F.col("n_shards") - 1)
+    guests = classes.filter((F.col("n_shards") > 1) & drawn).withColumn(
+        "shard", ((F.col("shard") + away) % F.col("n_shards")).cast("int")
     )
+    audience = classes.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    return audience.groupBy("label", "dim", "shard").applyInPandas(build, schema)
 
 
 def _search(shard: pd.DataFrame, queries: pd.DataFrame, threshold: float, single: bool) -> pd.DataFrame:
