@@ -76,13 +76,14 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     The stage boundary of a job: later steps read only the columns they need, and
     nothing before it is computed twice. Within :func:`job` the table goes with the job.
+    ``options`` are those of Spark's Parquet writer.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
