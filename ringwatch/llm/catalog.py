@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.llm import oracle
+from ringwatch.llm.decontamination import contamination_report
 from ringwatch.llm.embedding_dups import embedding_groups
 from ringwatch.llm.encoding import encoding_digests
 from ringwatch.llm.ftrl import score_logistic
@@ -93,6 +94,10 @@ def op10_quality_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", _held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -105,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op8_source_mix": op8_source_mix,
         "op9_bpe": op9_bpe,
         "op10_quality_score": op10_quality_score,
+        "op11_fm_decontamination": op11_fm_decontamination,
     }
 
 

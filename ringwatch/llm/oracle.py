@@ -65,5 +65,39 @@ JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 """
 
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, w, least(10, len(w)) AS l FROM (
+    SELECT item_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark)
+  WHERE len(w) > 0),
+items AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, l, array_to_string(w[k + 1 : k + l], ' ') AS phrase
+  FROM (SELECT item_id, w, l, unnest(range(len(w) - l + 1)) AS k FROM b)),
+lengths AS (SELECT DISTINCT l FROM items),
+places AS (
+  SELECT doc_id, l, k, array_to_string(w[k + 1 : k + l], ' ') AS phrase
+  FROM (SELECT doc_id, w, l, unnest(range(greatest(len(w) - l + 1, 0))) AS k FROM d, lengths)),
+hits AS (SELECT p.doc_id, p.k, p.l, i.item FROM places p JOIN items i ON p.l = i.l AND p.phrase = i.phrase),
+words AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + l)) AS place FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(found.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(found.listed, '')) AS items_sha256,
+  coalesce(words.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN found ON d.doc_id = found.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_archive": OP2, "op8_source_mix": OP8}
+    return {"op2_warc_archive": OP2, "op8_source_mix": OP8, "op11_fm_decontamination": OP11}

@@ -110,6 +110,6 @@ def test_stages_take_odd_rows(spark, tmp_path):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names
     assert set(entry.oracle_sql()) <= names
