@@ -12,6 +12,7 @@ from ringwatch.llm.decontamination import contamination_report
 from ringwatch.llm.embedding_dups import embedding_groups
 from ringwatch.llm.encoding import encoding_digests
 from ringwatch.llm.ftrl import score_logistic
+from ringwatch.llm.importance import importance_resample
 from ringwatch.llm.mixing import mix
 from ringwatch.llm.quality_rules import judge_quality
 from ringwatch.llm.simhash import simhash_groups
@@ -98,6 +99,11 @@ def op11_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -111,6 +117,7 @@ def queries() -> dict[str, Query]:
         "op9_bpe": op9_bpe,
         "op10_quality_score": op10_quality_score,
         "op11_fm_decontamination": op11_fm_decontamination,
+        "op12_importance_resampling": op12_importance_resampling,
     }
 
 

@@ -99,5 +99,62 @@ FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN found ON d.doc_id =
 """
 
 
+OP12 = r"""
+WITH fold AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+target AS (
+  SELECT regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+runs AS (SELECT unnest([1, 2, 3]) AS l),
+doc_runs AS (
+  SELECT doc_id, array_to_string(w[k + 1 : k + l], ' ') AS f, count(*) AS n
+  FROM (SELECT doc_id, w, l, unnest(range(greatest(len(w) - l + 1, 0))) AS k FROM fold, runs) GROUP BY ALL),
+target_runs AS (
+  SELECT array_to_string(w[k + 1 : k + l], ' ') AS f, count(*) AS n
+  FROM (SELECT w, l, unnest(range(greatest(len(w) - l + 1, 0))) AS k FROM target, runs) GROUP BY ALL),
+-- The table of CRC-32 by its polynomial, then byte after byte.
+crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_concat([b], range(8)), lambda x, y:
+      CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))),
+hashed AS (
+  SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(0, len(hex(f)), 2),
+      lambda i: CAST('0x' || substr(hex(f), CAST(i + 1 AS BIGINT), 2) AS BIGINT))), lambda x, y:
+    xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT f FROM doc_runs UNION SELECT f FROM target_runs), crc_table),
+s AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS s FROM doc_runs JOIN hashed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS t FROM target_runs JOIN hashed USING (f) GROUP BY bucket),
+gains AS (
+  SELECT s.bucket, CAST(floor(1000 * ln(
+    (coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT sum(s) FROM s)::DOUBLE + 10000)
+    / ((s + 1.0::DOUBLE) * (coalesce((SELECT sum(t) FROM t), 0)::DOUBLE + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t ON s.bucket = t.bucket),
+weights AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM doc_runs JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT fold.doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || fold.doc_id), 1, 8) AS BIGINT)
+      + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM fold LEFT JOIN weights ON fold.doc_id = weights.doc_id),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_words >= 20)
+SELECT scored.doc_id, n_features, weight, score,
+  CASE WHEN place <= (SELECT 5 * count(*) // 100 FROM placed) THEN place END AS rank
+FROM scored LEFT JOIN placed ON scored.doc_id = placed.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_archive": OP2, "op8_source_mix": OP8, "op11_fm_decontamination": OP11}
+    return {
+        "op2_warc_archive": OP2,
+        "op8_source_mix": OP8,
+        "op11_fm_decontamination": OP11,
+        "op12_importance_resampling": OP12,
+    }
