@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.llm import oracle
+from ringwatch.llm.alignment import align_tokenizers
 from ringwatch.llm.decontamination import contamination_report
 from ringwatch.llm.embedding_dups import embedding_groups
 from ringwatch.llm.encoding import encoding_digests
@@ -104,6 +105,11 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a_file, b_file = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, folder, "documents"), a_file, b_file)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -118,6 +124,7 @@ def queries() -> dict[str, Query]:
         "op10_quality_score": op10_quality_score,
         "op11_fm_decontamination": op11_fm_decontamination,
         "op12_importance_resampling": op12_importance_resampling,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
 
 
