@@ -18,7 +18,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -34,7 +34,7 @@ from ringwatch.llm.wordbpe import byte_letters
 from ringwatch.session import store
 
 #: Bytes of text that are aligned at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 #: Id pairs whose counts go out to the tasks; the others are joined by a shuffle.
 HOT_PAIRS = 1 << 20
 # Pairs that a task gathers before it passes them on.
@@ -44,8 +44,14 @@ _WAITING_PAIRS = 1 << 20
 _BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Texts with spaces beside other white space, at either end, or with the sign that stands for a space, are one piece.
 _NOT_BY_WORDS = re.compile("\\s |  | \\s|^\\s|\\s$|▁")
-# Letters whose classes no version of Unicode has changed, in words of usual length.
-_SETTLED = re.compile("[\x00-ɏ]{0,1000}")
+# Letters whose classes no version of Unicode has changed.
+_SETTLED = re.compile("[\x00-ɏ]*")
+_USUAL_LENGTH = 1000
+
+
+def _settled(piece: str) -> bool:
+    """Whether a piece has settled letters only, and the usual length."""
+    return len(piece) <= _USUAL_LENGTH and (piece.isascii() or _SETTLED.fullmatch(piece) is not None)
 
 
 class TokenizerPair:
@@ -89,15 +95,17 @@ class TokenizerPair:
         # Numbers of id pairs: as many bytes as both vocabularies need.
         self.number = np.uint32 if self.a_size * self.b_size < 1 << 32 else np.uint64
 
-    def a_ids(self, pieces: list[str]) -> pa.ListArray:
+    def a_ids(self, pieces: pa.StringArray, by_words: Callable[[str], bool]) -> pa.ListArray:
         """A's ids of a space and each of the pieces.
 
-        Words that :func:`word_pieces` cuts may as well be tokenized in one text, which is
+        Pieces that may be followed by others may as well be tokenized in one text, which is
         then cut again where their bytes end.
         """
-        plain = [k for k, p in enumerate(pieces) if self._fast and _SETTLED.fullmatch(p) and not _NOT_BY_WORDS.search(p)]
-        ids = np.array(self._fast.encode_ordinary(" " + " ".join([pieces[k] for k in plain])) if plain else [], np.int32)
-        ends = np.cumsum([len(pieces[k].encode()) + 1 for k in plain], dtype=np.int64)
+        texts = pieces.to_pylist()
+        fast = self._fast is not None
+        plain = [k for k, p in enumerate(texts) if fast and _settled(p) and by_words(p)]
+        ids = np.array(self._fast.encode_ordinary(" " + " ".join([texts[k] for k in plain])) if plain else [], np.int32)
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy()[plain].astype(np.int64) + 1)
         upto = np.searchsorted(np.cumsum(self.a_length.to_numpy()[ids]), ends, "right")
         if len(plain) == len(pieces):
             return pa.ListArray.from_arrays(pa.array(np.append(0, upto).astype(np.int32)), pa.array(ids))
@@ -105,14 +113,14 @@ class TokenizerPair:
         for k, start, stop in zip(plain, [0, *upto], upto):
             lists[k] = ids[start:stop]
         others = [k for k, found in enumerate(lists) if found is None]
-        encoded = self._library.encode_batch([" " + pieces[k] for k in others], add_special_tokens=False)
+        encoded = self._library.encode_batch([" " + texts[k] for k in others], add_special_tokens=False)
         for k, found in zip(others, encoded):
             lists[k] = found.ids
         return pa.array(lists, pa.list_(pa.int32()))
 
-    def b_ids(self, pieces: list[str]) -> pa.ListArray:
+    def b_ids(self, pieces: pa.StringArray) -> pa.ListArray:
         """B's ids of each of the pieces, in front of which it puts a space itself."""
-        return pa.array(self._b.encode(pieces, num_threads=1), pa.list_(pa.int32()))
+        return pa.array(self._b.encode(pieces.to_pylist(), num_threads=1), pa.list_(pa.int32()))
 
 
 @lru_cache(maxsize=1)
@@ -145,10 +153,13 @@ class Pieces:
 
 
 def block_pieces(texts: list[str], pair: TokenizerPair) -> Pieces:
-    lists = pa.array([word_pieces(t) for t in texts], pa.list_(pa.string()))
+    cut = [word_pieces(t) for t in texts]
+    lists = pa.array(cut, pa.list_(pa.string()))
     coded = pc.list_flatten(lists).dictionary_encode()
-    different = coded.dictionary.to_pylist()
-    a, b = pair.a_ids(different), pair.b_ids(different)
+    # A text of one piece may be one that words do not cut; all others are words of theirs.
+    whole = {pieces[0] for pieces in cut if len(pieces) == 1}
+    a = pair.a_ids(coded.dictionary, lambda piece: piece not in whole)
+    b = pair.b_ids(coded.dictionary)
     bytes_ = pc.binary_join_element_wise(b" ", coded.dictionary.cast(pa.binary()), b"")
     same = pc.and_(
         pc.equal(_joined_bytes(a, pair.a_bytes), bytes_), pc.equal(_joined_bytes(b, pair.b_bytes), bytes_)
