@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -9,41 +10,48 @@ from llm_cases import no_rows, odd_rows
 from ringwatch.llm.templates import drop_repeated_lines
 
 
-def plain_drop(rows, min_docs=3, depth=3, min_tokens=4, percent=60):
-    """(doc_id, text) -> text of each row, by dictionaries."""
-    # Leaves and tokens are counted over rows; documents (rows of one id and text) make a template recurring.
-    lines = []
-    for k, doc in enumerate(rows):
+def plain_drop(rows, min_docs=3, exact_docs=2, depth=3, min_tokens=4):
+    """(doc_id, text) -> the same without the lines that recur, by dictionaries.
+
+    Rows of the same id and text are one document, but each of them supports its tokens.
+    """
+    lines, support, leaves = [], Counter(), {}
+    for doc in rows:
         for number, line in enumerate((doc[1] or "").split("\n")):
-            tokens = [w for w in re.split("[ \t\x0b\x0c\r]+", line) if w]
-            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)
+            exact = tuple(w for w in re.split("[ \t\x0b\x0c\r]+", line) if w)
+            tokens = tuple(None if re.search("[0-9]", t) else t for t in exact)
             if len(tokens) >= min_tokens:
-                lines.append((k, number, (len(tokens), tokens[:depth]), tokens))
-    leaf_rows, line_count = {}, {}
-    for k, _, leaf, tokens in lines:
-        leaf_rows.setdefault(leaf, set()).add(k)
-        line_count[leaf, tokens] = line_count.get((leaf, tokens), 0) + 1
-    support, alone = {}, {}
-    for (leaf, tokens), n in line_count.items():
-        alone[leaf] = alone.get(leaf, 0) + 1
-        for place, token in enumerate(tokens):
-            support[leaf, place, token] = support.get((leaf, place, token), 0) + n
+                leaf = (len(tokens), tokens[:depth])
+                lines.append((doc, number, leaf, tokens, exact))
+                leaves.setdefault(leaf, set()).add(exact)
+                support.update((leaf, p, t) for p, t in enumerate(tokens))
 
     def template(leaf, tokens):
-        kept = tuple(t if support[leaf, p, t] >= min_docs else None for p, t in enumerate(tokens))
-        constants = sum(t is not None for t in kept)
-        general = alone[leaf] > 1 and constants < len(tokens) and 100 * constants >= percent * len(tokens)
-        return (leaf, kept) if general else (leaf, "line", tokens)
-
-    places = {}
-    for k, number, leaf, tokens in lines:
-        if len(leaf_rows[leaf]) >= min_docs:
-            places.setdefault(template(leaf, tokens), []).append((rows[k], number))
+        n = len(tokens) - depth
+        least = max(3, -(-60 * n // 100))
+        at = {p: support[leaf, p, t] for p, t in enumerate(tokens) if p >= depth and t and support[leaf, p, t] >= min_docs}
+        if len(leaves[leaf]) == 1 or len(at) < least:
+            return None, 0
+        usual = sorted(at.values(), reverse=True)[least - 1]
+        kept = tuple((p, tokens[p]) for p in at if 2 * at[p] >= usual)
+        return ((leaf, kept), usual) if len(kept) < n or None in leaf[1] else (None, 0)
+
+    usual, groups = {}, {}
+    for doc, number, leaf, tokens, exact in lines:
+        name, most = template(leaf, tokens)
+        usual[name] = max(usual.get(name, 0), most)
+        groups.setdefault(name, []).append((doc, number))
+        groups.setdefault(exact, []).append((doc, number))
+    docs = {g: len({doc for doc, _ in at}) for g, at in groups.items()}
+    true = {g for g, at in groups.items() if g in usual and g and 2 * len(at) >= usual[g] and docs[g] >= min_docs}
+    # First is the smallest id, null last.
+    first = {g: min(at, key=lambda x: (x[0][0] is None, x[0][0] or 0, x[1])) for g, at in groups.items()}
     gone = set()
-    for at in places.values():
-        if len({doc for doc, _ in at}) >= min_docs:
-            first = min(at, key=lambda x: (x[0][0] is None, x[0][0] or 0, x[1]))
-            gone |= {x for x in at if x != first}
+    for doc, number, leaf, tokens, exact in lines:
+        name = template(leaf, tokens)[0]
+        group = name if name in true else exact
+        if (name in true or docs[exact] >= exact_docs) and (doc, number) != first[group]:
+            gone.add((doc, number))
     out = []
     for doc in rows:
         kept = [line for k, line in enumerate((doc[1] or "").split("\n")) if (doc, k) not in gone]
