@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,19 +30,12 @@ def _pieces_of(bpe: WordBpe) -> Callable[[str], list[tuple[int, ...]]]:
     return encode
 
 
-@lru_cache(maxsize=2)
-def _encoder(spec: str) -> Callable[[str], list[tuple[int, ...]]]:
-    return _pieces_of(bpe_of(spec))
-
-
-@lru_cache(maxsize=2)
-def _renderer(spec: str) -> Callable[[str], tuple[int, str, str]]:
+def _renderer(bpe: WordBpe) -> Callable[[str], tuple[int, str, str]]:
     """A function that gives the number of tokens, the ids as text, and the decoded text.
 
     Each piece is encoded and decoded once and kept in both forms; neighbours are joined
     by one space in either.
     """
-    bpe = bpe_of(spec)
     ids_of_part = Cached(bpe.encode_part)
 
     def forms(ids: list[int]) -> tuple[int, str, str]:
@@ -80,7 +72,7 @@ def encode_texts(
     spec = broadcast_spec(docs.sparkSession, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(spec.value)
+        encode = _pieces_of(bpe_of(spec.value))
         for batch in batches:
             ids = [[i for piece in encode(t.as_py() or "") for i in piece] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -120,7 +112,7 @@ def encoding_digests(
     spec = broadcast_spec(docs.sparkSession, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        render = _renderer(spec.value)
+        render = _renderer(bpe_of(spec.value))
         for batch in batches:
             counts, id_digests, text_digests = [], [], []
             for cell in batch.column(1):

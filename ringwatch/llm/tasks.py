@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -13,6 +14,10 @@ from pyspark.sql.types import StructType
 
 import ringwatch
 
+#: Rows that go to Python and back at once. Texts are long: Spark's own number makes batches of many megabytes.
+BATCH_ROWS = 1000
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SENT: set[str] = set()
 
 
@@ -34,12 +39,35 @@ def send_package(spark: SparkSession) -> None:
     _SENT.add(context.applicationId)
 
 
+def give_back_memory() -> None:
+    """Hand memory that nothing uses any more back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 def map_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """``df.mapInArrow`` with the package at hand in the tasks."""
-    send_package(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    """``df.mapInArrow`` with the package at hand in the tasks.
+
+    The session's batches are made small (``BATCH_ROWS``) if they are larger; what a task
+    keeps in memory goes with it.
+    """
+    spark = df.sparkSession
+    send_package(spark)
+    if not 0 < int(spark.conf.get(_ROWS_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS_SETTING, str(BATCH_ROWS))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back_memory()
+
+    return df.mapInArrow(task, schema)
 
 
 def unused_name(df: DataFrame, base: str) -> str:

@@ -8,7 +8,6 @@ them up, and only the rest goes through the merges.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,11 +37,6 @@ def whole_token_counter(bpe: WordBpe, whole: frozenset[str]) -> Callable[[str],
     return count
 
 
-@lru_cache(maxsize=2)
-def _counter(spec: str, whole: frozenset[str]) -> Callable[[str], int]:
-    return whole_token_counter(bpe_of(spec), whole)
-
-
 def count_tokens(
     docs: DataFrame,
     vocabulary: str,
@@ -61,7 +55,7 @@ def count_tokens(
     proved = docs.sparkSession.sparkContext.broadcast(bpe_of(spec.value).whole_tokens())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(spec.value, proved.value)
+        count = whole_token_counter(bpe_of(spec.value), proved.value)
         for batch in batches:
             texts = batch.column(1)
             n_tokens = pa.array([count(t) if t else 0 for t in (x.as_py() for x in texts)], pa.int64())

@@ -17,8 +17,9 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-# Entries that a task keeps of the words it has already worked on, in each of two generations.
-CACHE_ENTRIES = 1 << 18
+# Entries that a task keeps of the words it has already worked on, in each of two generations, and the longest of them.
+CACHE_ENTRIES = 1 << 16
+CACHED_LENGTH = 64
 # Ids are below 2 ** 20 in any vocabulary, places in a pre-token below 2 ** 40.
 ID_BITS = 20
 PLACE_BITS = 40
@@ -178,13 +179,18 @@ class WordBpe:
 
 
 class Cached(dict):
-    """A dict that fills itself by a function; what was not asked for during a generation is forgotten."""
+    """A dict that fills itself by a function; what was not asked for during a generation is forgotten.
+
+    Keys longer than ``CACHED_LENGTH`` are worked on each time, so that the number of entries bounds their bytes.
+    """
 
     def __init__(self, make: Callable[[Any], Any], entries: int = CACHE_ENTRIES):
         super().__init__()
         self._make, self._entries, self._older = make, entries, {}
 
     def __missing__(self, key):
+        if len(key) > CACHED_LENGTH:
+            return self._make(key)
         if len(self) >= self._entries:
             self._older = dict(self)
             self.clear()
