@@ -43,6 +43,7 @@ class WordBpe:
 
     def __init__(self, spec: str):
         content = json.loads(spec)
+        self._spec, self._library = spec, None
         model = content["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.word_end: str = model["end_of_word_suffix"]
@@ -65,9 +66,29 @@ class WordBpe:
 
     def parts(self, text: str) -> list[str]:
         """The pre-tokens of a text without special strings: composed, lower case, split by the pattern."""
+        if text.isascii():
+            return self._parts.findall(text.lower())
         folded = unicodedata.normalize("NFC", text)
         # Letter by letter: the sigma at the end of a word is no special case here.
-        return self._parts.findall(folded.replace(_SIGMA, "σ").lower())
+        folded = folded.replace(_SIGMA, "σ").lower()
+        if any(unicodedata.category(c) == "Cn" for c in folded):
+            return self._library_parts(text)
+        return self._parts.findall(folded)
+
+    def _library_parts(self, text: str) -> list[str]:
+        """The pre-tokens by the rules of the public library itself.
+
+        Signs that Python's tables do not have yet may be letters or numbers for the library,
+        or have a lower case there; its tables are of another version of Unicode.
+        """
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self._spec)
+        folded = self._library.normalizer.normalize_str(text)
+        byte_of = {letter: b for b, letter in enumerate(self._letters)}
+        found = self._library.pre_tokenizer.pre_tokenize_str(folded)
+        return [bytes(byte_of[c] for c in part).decode() for part, _ in found]
 
     def chunks(self, text: str) -> Iterator[tuple[str, bool]]:
         """A text cut at its white space and special strings, as (piece, whether it is special).

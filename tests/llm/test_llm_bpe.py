@@ -47,6 +47,14 @@ def test_ids_and_decoded_text_equal_the_library(bpe, library):
         assert bpe.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point(bpe, library):
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(codes), 1 << 16):
+        texts = [f"a{chr(c)}b" for c in codes[k : k + (1 << 16)]]
+        for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert bpe.encode(text) == found.ids, ascii(text)
+
+
 def test_whole_tokens_are_one_token_each(bpe, library):
     whole = sorted(bpe.whole_tokens())
     assert len(whole) > 30_000
