@@ -6,12 +6,9 @@ so a saved model carries them along and scores batch and stream alike.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -19,13 +16,13 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.functions.risk import probability_band
+from ringwatch.operators.boosting_grid import cross_validated_areas
 from ringwatch.operators.evaluate import METRICS, classification_metrics, roc_auc
 from ringwatch.operators.features import class_weights, fit_scaling
 from ringwatch.operators.ordered import median_values
@@ -241,69 +238,35 @@ def fit_boosting(
     return _fit(train, name, features, False, fill, boosting(name, iterations, step, depth), facts)
 
 
-def first_trees(model: GBTClassificationModel, iterations: int) -> GBTClassificationModel:
-    """The model as it was after its first ``iterations`` trees.
-
-    Each tree is grown on the residuals of those before, so that a shorter fit with the
-    same seed has the same trees.
-    """
-    whole = model._java_obj
-    context = SparkContext._active_spark_context
-    tree_class = context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    trees = context._gateway.new_array(tree_class, iterations)
-    weights = context._gateway.new_array(context._jvm.double, iterations)
-    for k, (tree, weight) in enumerate(zip(whole.trees()[:iterations], whole.treeWeights()[:iterations])):
-        trees[k], weights[k] = tree, weight
-    shorter = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(whole.uid(), trees, weights)
-    for param in whole.params():
-        if whole.isSet(param):
-            shorter.set(param, whole.get(param).get())
-    return GBTClassificationModel(shorter)
-
-
-def grid_search(
+def cross_validate(
     train: DataFrame,
     features: Sequence[str] = BASE_FEATURES,
     iterations: Sequence[int] = (100, 150, 200),
     steps: Sequence[float] = (0.03, 0.05, 0.1),
     depths: Sequence[int] = (2, 3, 4),
     folds: int = 3,
-    parallelism: int = 4,
     name: str = "boosting",
-) -> tuple[DataFrame, Fitted]:
-    """Cross-validated ROC-AUC of every parameter point, and the best one refitted on all rows.
+) -> DataFrame:
+    """Cross-validated ROC-AUC of every parameter point, best first.
 
-    A call's fold is a hash of its id, which is near-stratified and needs no sort. Boosting
-    is fitted once per step, depth and fold with the most iterations; fewer iterations are
-    the first trees of that model.
+    A call's fold is a hash of its id, which is near-stratified and needs no sort. All
+    points and folds are boosted together, see :mod:`~ringwatch.operators.boosting_grid`.
     """
     stages = fit_preparation(train, name, features, scaled=False)
-    prepared = PipelineModel(stages).transform(
-        train.withColumn("fold", F.pmod(F.xxhash64("call_id"), F.lit(folds)).cast("int"))
-    ).select("fold", "is_fraud", f"{name}_features")
-    prepared = store(prepared, "grid")
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol=f"{name}_raw", labelCol="is_fraud", metricName="areaUnderROC", numBins=0
-    )
-    longest = max(iterations)
-
-    def areas(point: tuple[float, int, int]) -> list[tuple[int, float, int, float]]:
-        step, depth, fold = point
-        model = boosting(name, longest, step, depth).fit(prepared.filter(F.col("fold") != fold))
-        held = prepared.filter(F.col("fold") == fold)
-        return [
-            (n, float(step), depth, float(evaluator.evaluate(first_trees(model, n).transform(held)))) for n in iterations
-        ]
-
-    points = list(itertools.product(steps, depths, range(folds)))
-    with ThreadPoolExecutor(parallelism) as pool:
-        found = [row for rows in pool.map(areas, points) for row in rows]
-    each = train.sparkSession.createDataFrame(found, "iterations int, step double, depth int, area double")
-    table = each.groupBy("iterations", "step", "depth").agg(F.avg("area").alias("mean_roc_auc"))
-    ranked = table.orderBy(F.desc("mean_roc_auc"), "iterations", "step", "depth")
+    folded = train.withColumn("fold", F.pmod(F.xxhash64("call_id"), F.lit(folds)).cast("int"))
+    columns = [_filled(name, c) for c in features]
+    prepared = PipelineModel(stages[:1]).transform(folded).select("fold", "is_fraud", *columns)
+    table = cross_validated_areas(store(prepared, "grid-calls"), columns, iterations, steps, depths, folds)
+    return store(table, "grid-areas").orderBy(F.desc("mean_roc_auc"), "iterations", "step", "depth")
+
+
+def grid_search(
+    train: DataFrame, features: Sequence[str] = BASE_FEATURES, name: str = "boosting", **grid
+) -> tuple[DataFrame, Fitted]:
+    """The table of :func:`cross_validate` and its best point, refitted on all rows by Spark's own boosting."""
+    ranked = cross_validate(train, features, name=name, **grid)
     top = ranked.first()
-    model = boosting(name, top["iterations"], top["step"], top["depth"]).fit(prepared)
-    return ranked, Fitted(name, PipelineModel([*stages, model]), list(features))
+    return ranked, fit_boosting(train, features, top["iterations"], top["step"], top["depth"], name=name)
 
 
 def vote(df: DataFrame, names: Sequence[str]) -> DataFrame:

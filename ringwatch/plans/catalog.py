@@ -640,8 +640,7 @@ def _(spark, folder):
 @_query("grid_search")
 def _(spark, folder):
     data = _data(spark, folder)
-    table, _ = models.grid_search(data.train, data.features)
-    return table
+    return models.cross_validate(data.train, data.features)
 
 
 # The model stage on two scores that need no training, so that plain SQL can follow it.

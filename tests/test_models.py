@@ -160,20 +160,12 @@ def test_single_feature_without_signal(spark):
 
 
 def test_grid_search(data):
-    table, best = models.grid_search(data.train, data.features, (2, 4), (0.1,), (2,), parallelism=2)
+    table, best = models.grid_search(data.train, data.features, iterations=(2, 4), steps=(0.1,), depths=(2,))
     rows = table.collect()
     assert len(rows) == 2 and rows[0]["mean_roc_auc"] >= rows[1]["mean_roc_auc"] > 0.7
     assert best.estimator.getMaxIter() == rows[0]["iterations"]
 
 
-def test_the_first_trees_are_the_shorter_model(data):
-    long, short = (models.fit_boosting(data.train, data.features, iterations=n, depth=2) for n in (4, 2))
-    prefix = models.Fitted("boosting", models.PipelineModel([*long.pipeline.stages[:-1], models.first_trees(long.estimator, 2)]), long.features)
-    a, b = (models.score_calls(data.test, m) for m in (prefix, short))
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert a.exceptAll(models.score_calls(data.test, long)).count() > 0
-
-
 def test_gradient_is_zero_at_the_optimum(data):
     fitted = models.fit_logistic(data.train, data.features)
     assert all(r["gradient"] < 1e-4 for r in models.logistic_gradient(data.train, fitted).collect())
