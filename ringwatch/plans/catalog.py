@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ringwatch.functions import risk, texts, times
 from ringwatch.operators import audits, cleaning, dedup, evaluate, explore, lookup, models, ordered, quality, trailing
@@ -20,10 +21,10 @@ from ringwatch.schema import (
     SCALED_FEATURES,
     TRAILING_FEATURES,
 )
-from ringwatch.session import checkpoint_root
+from ringwatch.session import checkpoint_root, store
 from ringwatch.sources.calls import load_calls, parse_failures, with_parsed_time
 from ringwatch.sources.event_calls import read_event_calls
-from ringwatch.streaming import scoring
+from ringwatch.streaming import carried, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -809,3 +810,55 @@ def _(spark, folder):
     rows = scoring.live_features(arriving, spark.read.parquet(f"{root}/prefixes"))
     scoring.write_scores(rows, f"{root}/features", f"{root}/progress").awaitTermination()
     return spark.read.parquet(f"{root}/features").select("call_id", "caller_number", "ts", *BASE_FEATURES)
+
+
+def _arriving(spark: SparkSession, calls: DataFrame, root: str, days: int, run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Let ``calls`` arrive in files of ``days`` days each, in time order, and run a stream after each arrival.
+
+    Calls without time come with the first files.
+    """
+    first, last = calls.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    starts = [first + dt.timedelta(days=k) for k in range(0, (last - first).days + 1, days)]
+    schema = calls.schema
+    for k, start in enumerate(starts):
+        day = F.to_date("ts")
+        mine = (day >= F.lit(start)) & (day < F.lit(start + dt.timedelta(days=days)))
+        calls.filter(mine | day.isNull() if k == 0 else mine).write.mode("append").parquet(f"{root}/arriving")
+        run(spark.readStream.schema(schema).parquet(f"{root}/arriving")).awaitTermination()
+
+
+@_query("stream_trailing")
+def _(spark, folder):
+    """Behavioral features of calls that arrive five days at a time, from what is carried over."""
+    root = f"{checkpoint_root(spark)}/stream-trailing-{uuid.uuid4().hex}"
+    calls = store(prepare.labelled_table(raw_calls(spark, folder)), "stream-calls")
+    step = carried.trailing_step(calls)
+    _arriving(spark, calls, root, 5, lambda s: carried.write_carried(s, step, f"{root}/out", f"{root}/open", f"{root}/progress"))
+    found = _rounded(spark.read.parquet(f"{root}/out"), [trailing.MEAN_DURATION])
+    return found.select("call_id", *TRAILING_FEATURES)
+
+
+@_query("stream_dedup")
+def _(spark, folder):
+    """Exact and near duplicates dropped from calls that arrive five days at a time."""
+    root = f"{checkpoint_root(spark)}/stream-dedup-{uuid.uuid4().hex}"
+    calls = store(timed_calls(spark, folder), "stream-calls")
+    step = carried.dedup_step()
+    _arriving(spark, calls, root, 5, lambda s: carried.write_carried(s, step, f"{root}/out", f"{root}/open", f"{root}/progress"))
+    last = spark.read.parquet(f"{root}/open").agg(F.max("batch")).first()[0]
+    left = carried.close_carried(spark.read.parquet(f"{root}/open/batch={last}"))
+    return spark.read.parquet(f"{root}/out").drop("batch").unionByName(left).drop("ts")
+
+
+@_query("stream_dedup_exact")
+def _(spark, folder):
+    """Exact repeats dropped by a stream with watermarked state, over calls that arrive five days at a time."""
+    root = f"{checkpoint_root(spark)}/stream-exact-{uuid.uuid4().hex}"
+    calls = store(timed_calls(spark, folder), "stream-calls")
+
+    def run(arriving: DataFrame) -> StreamingQuery:
+        once = scoring.drop_repeated_calls(arriving.drop("ts"))
+        return scoring.write_scores(once, f"{root}/out", f"{root}/progress")
+
+    _arriving(spark, calls, root, 5, run)
+    return spark.read.parquet(f"{root}/out")

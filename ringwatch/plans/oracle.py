@@ -714,6 +714,9 @@ def _bodies() -> dict[str, str]:
         ),
         "class_report": _class_report(),
         "stream_features": _stream_features(),
+        "stream_trailing": "select * from looked_back",
+        "stream_dedup": f"select {_ALL} from deduped",
+        "stream_dedup_exact": f"select distinct {_ALL} from calls",
         # The model stage on fixed scores
         "soft_vote_fixed": f"{_TWO_MODELS} union all {_metrics('vote', '((rule_p + line_p) / 2)')}",
         "best_model_fixed": f"select *, roc_auc = max(roc_auc) over () as best from ({_TWO_MODELS})",
