@@ -3,41 +3,18 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-import ringwatch
+from ringwatch.session import send_package
 
 #: Rows that go to Python and back at once. Texts are long: Spark's own number makes batches of many megabytes.
 BATCH_ROWS = 1000
 _ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-_SENT: set[str] = set()
-
-
-def send_package(spark: SparkSession) -> None:
-    """Let the executors import this package, once per application.
-
-    The driver packs its own copy and Spark's file server hands it out, so that
-    nothing has to be installed or shared beforehand.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _SENT:
-        return
-    root = Path(ringwatch.__file__).resolve().parent
-    packed = Path(tempfile.mkdtemp(prefix="ringwatch-")) / "ringwatch.zip"
-    with zipfile.ZipFile(packed, "w") as archive:
-        for path in sorted(root.rglob("*.py")):
-            archive.write(path, path.relative_to(root.parent))
-    context.addPyFile(str(packed))
-    _SENT.add(context.applicationId)
-
 
 def give_back_memory() -> None:
     """Hand memory that nothing uses any more back to the system: Python workers outlive their tasks."""
