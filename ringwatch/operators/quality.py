@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ringwatch.functions.risk import fraud_flag
@@ -17,7 +18,6 @@ FRAUD_BAND = (0.10, 0.20)
 DURATION_BAND = (0, 3600)
 CONFIDENCE_BAND = (0, 1)
 # --- End of fixed values. ---
-LABELS_SHOWN = 10
 
 
 def unknown_labels(df: DataFrame, allowed: Sequence[str] = CANONICAL_LABELS) -> DataFrame:
@@ -26,29 +26,43 @@ def unknown_labels(df: DataFrame, allowed: Sequence[str] = CANONICAL_LABELS) ->
     return df.filter(~label.isin(list(allowed))).select(label.alias("label")).distinct()
 
 
+def _measures(df: DataFrame) -> list[Column]:
+    """The aggregates that all checks need; those of columns that the table lacks are left out."""
+    measures = [F.count(F.lit(1)).alias("n")]
+    if "label_5way" in df.columns:
+        label = canonical_label(F.col("label_5way"))
+        odd = label.isNotNull() & ~label.isin(CANONICAL_LABELS)
+        measures += [
+            F.avg(fraud_flag(label, CANONICAL_FRAUD_LABELS)).alias("rate"),
+            F.count_if(odd).alias("odd"),
+            F.collect_set(F.when(odd, label)).alias("odd_labels"),
+        ]
+    for column in ("duration_sec", "confidence_score"):
+        if column in df.columns:
+            measures += [F.min(column).alias(f"min_{column}"), F.max(column).alias(f"max_{column}")]
+    return measures
+
+
 def quality_checks(
     df: DataFrame,
     row_band: tuple[float, float] = ROW_BAND,
     fraud_band: tuple[float, float] = FRAUD_BAND,
     required: Sequence[str] = CALL_COLUMNS,
 ) -> DataFrame:
-    """``check_name, passed, message`` per hard check, from one aggregation of the table."""
+    """``check_name, passed, message`` per hard check, from one aggregation of the table.
+
+    A missing column fails ``required_columns``; the checks of its values are then left out.
+    """
     missing = [c for c in required if c not in df.columns]
-    label = canonical_label(F.col("label_5way"))
-    has_duration, has_confidence = "duration_sec" in df.columns, "confidence_score" in df.columns
-    aggregates = [
-        F.count(F.lit(1)).alias("n"),
-        F.avg(fraud_flag(label, CANONICAL_FRAUD_LABELS)).alias("rate"),
-        # Labels come from a handful of spellings; a table full of odd ones fails by count alone.
-        F.count_if(label.isNotNull() & ~label.isin(CANONICAL_LABELS)).alias("odd"),
-    ]
-    for present, column in ((has_duration, "duration_sec"), (has_confidence, "confidence_score")):
-        if present:
-            aggregates += [F.min(column).alias(f"min_{column}"), F.max(column).alias(f"max_{column}")]
-    facts = df.agg(*aggregates)
-    # The first few by name, however many a damaged table has.
-    few = unknown_labels(df).orderBy("label").limit(LABELS_SHOWN)
-    named = few.agg(F.array_join(F.array_sort(F.collect_list("label")), ", ")).scalar()
+    return _checks(df.agg(*_measures(df)), missing, row_band, fraud_band)
+
+
+def _checks(
+    facts: DataFrame, missing: Sequence[str], row_band: tuple[float, float], fraud_band: tuple[float, float]
+) -> DataFrame:
+    """The checks of one row of measures."""
+    has_label = "odd" in facts.columns
+    has_duration, has_confidence = (f"min_{c}" in facts.columns for c in ("duration_sec", "confidence_score"))
 
     def within(column: str, low: float, high: float):
         value_ok = (F.col(f"min_{column}") >= low) & (F.col(f"max_{column}") <= high)
@@ -60,17 +74,22 @@ def quality_checks(
     checks = [
         ("required_columns", F.lit(not missing), F.lit(f"missing: {missing}" if missing else "ok")),
         ("row_count", F.col("n").between(*row_band), F.format_string("actual: %d", F.col("n"))),
-        (
-            "fraud_rate",
-            F.coalesce(F.col("rate").between(*fraud_band), F.lit(False)),
-            F.concat(F.lit("actual: "), F.coalesce(F.round("rate", 3).cast("decimal(10,3)").cast("string"), F.lit("none"))),
-        ),
-        (
-            "known_labels",
-            F.col("odd") == 0,
-            F.when(F.col("odd") == 0, "ok").otherwise(F.format_string("rows: %d, labels: %s", F.col("odd"), named)),
-        ),
     ]
+    if has_label:
+        rate = F.round("rate", 3).cast("decimal(10,3)").cast("string")
+        named = F.array_join(F.array_sort("odd_labels"), ", ")
+        checks += [
+            (
+                "fraud_rate",
+                F.coalesce(F.col("rate").between(*fraud_band), F.lit(False)),
+                F.concat(F.lit("actual: "), F.coalesce(rate, F.lit("none"))),
+            ),
+            (
+                "known_labels",
+                F.col("odd") == 0,
+                F.when(F.col("odd") == 0, "ok").otherwise(F.format_string("rows: %d, labels: %s", F.col("odd"), named)),
+            ),
+        ]
     if has_duration:
         checks.append(("duration_range", within("duration_sec", *DURATION_BAND), span("duration_sec")))
     if has_confidence:
@@ -93,6 +112,39 @@ def quality_gate(checks: DataFrame) -> None:
         raise QualityError("; ".join(failed))
 
 
+def write_checked(
+    df: DataFrame,
+    path: str,
+    row_band: tuple[float, float] = ROW_BAND,
+    fraud_band: tuple[float, float] = FRAUD_BAND,
+    required: Sequence[str] = CALL_COLUMNS,
+) -> None:
+    """Write ``df`` as Parquet to the new folder ``path``, but only if it passes all hard checks.
+
+    The measures are taken while the rows are written, to a folder beside ``path``. That is then
+    renamed; a table that fails leaves nothing and raises :class:`QualityError`.
+    """
+    spark = df.sparkSession
+    missing = [c for c in required if c not in df.columns]
+    measures = _measures(df)
+    seen = Observation()
+    waiting = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    files = spark._jvm.org.apache.hadoop.fs
+    source, target = files.Path(waiting), files.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(target):
+        raise FileExistsError(path)
+    try:
+        df.observe(seen, *measures).write.parquet(waiting)
+        schema = df.agg(*measures).schema
+        facts = spark.createDataFrame([tuple(seen.get[name] for name in schema.names)], schema)
+        quality_gate(_checks(facts, missing, row_band, fraud_band))
+        if not system.rename(source, target):
+            raise OSError(f"could not move {waiting} to {path}")
+    finally:
+        system.delete(source, True)
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Nulls per column that has any, from one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

@@ -230,6 +230,14 @@ def _(spark, folder):
     return quality.quality_checks(raw_calls(spark, folder))
 
 
+@_query("checked_write")
+def _(spark, folder):
+    """The call table as it is read back after a write that had to pass the checks."""
+    path = f"{checkpoint_root(spark)}/checked-{uuid.uuid4().hex}"
+    quality.write_checked(raw_calls(spark, folder), path, (1, float("inf")), (0.3, 0.5))
+    return spark.read.parquet(path)
+
+
 @_query("qa_checks_odd_labels")
 def _(spark, folder):
     """The same checks on calls of which one label is misspelt."""

@@ -540,6 +540,7 @@ def _bodies() -> dict[str, str]:
             "count(*) filter (confidence_score < 0 or confidence_score > 1) as bad_c, min(duration_sec) as min_d, "
             "max(duration_sec) as max_d, min(confidence_score) as min_c, max(confidence_score) as max_c from calls)"
         ),
+        "checked_write": f"select {_ALL} from calls",
         "qa_checks_odd_labels": (
             "select 'known_labels' as check_name, n = 0 as passed, 'rows: ' || n || ', labels: un_known' as message "
             "from (select count(*) filter (label_5way = 'Unknown') as n from calls)"

@@ -129,3 +129,27 @@ def test_null_profile(calls):
     df = calls({"call_id": "a", "channel": None}, {"call_id": None, "channel": None}, {"call_id": "b", "channel": None})
     assert {tuple(r) for r in quality.null_profile(df).collect()} == {("call_id", 1), ("channel", 3)}
     assert tuple(quality.table_facts(df).first()) == (3, 2, 4)
+
+
+def test_a_table_without_labels_fails_by_its_columns(raw):
+    checks = {r["check_name"]: r for r in quality.quality_checks(raw.drop("label_5way"), (0, 10**9)).collect()}
+    assert not checks["required_columns"]["passed"] and "label_5way" in checks["required_columns"]["message"]
+    assert "fraud_rate" not in checks and checks["row_count"]["passed"]
+
+
+def test_all_odd_labels_are_named(calls):
+    df = calls(*[{"call_id": f"c{k}", "label_5way": f"odd{k:02d}"} for k in range(14)])
+    message = next(r["message"] for r in quality.quality_checks(df).collect() if r["check_name"] == "known_labels")
+    assert message == "rows: 14, labels: " + ", ".join(f"odd{k:02d}" for k in range(14))
+
+
+def test_only_a_sound_table_is_written(spark, raw, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    quality.write_checked(raw, good, (1, 10**9), (0.3, 0.5))
+    back = spark.read.parquet(good)
+    assert back.exceptAll(raw).count() == 0 and back.count() == raw.count()
+    with pytest.raises(quality.QualityError, match="fraud_rate"):
+        quality.write_checked(raw, bad, (1, 10**9))
+    with pytest.raises(FileExistsError):
+        quality.write_checked(raw, good, (1, 10**9), (0.3, 0.5))
+    assert [p.name for p in tmp_path.iterdir()] == ["good"]
