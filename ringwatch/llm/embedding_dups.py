@@ -1,10 +1,11 @@
 """Embedding near-duplicates: one small-world graph per shard, every shard queried.
 
 Equal vectors are one class first, so that copies cost one node. The classes of a label
-are dealt to shards of bounded size by a hash. Each shard builds its graph and audits it:
-for a sample of its vectors that have near ones, and of visitors from other shards, the true
-neighbours are found by a full scan, and the beam is widened until the search finds enough of
-them; a shard with too few such vectors for an audit is scanned. Then all classes of a label are looked up in
+are dealt to shards of bounded size by a hash. Each shard builds its graph and audits it: for
+probes that are turned away from its own vectors just as far as a link reaches, for vectors that
+have near ones, and for visitors from other shards, the true neighbours are found by a full
+scan, and the beam is widened, up to the whole shard, until the search finds enough of
+them. Then all classes of a label are looked up in
 every shard of that label, in chunks of bounded size, and links are verified by the
 cosine in double precision. A chunk and a shard give the number of links of each query and
 a spanning forest of those links, so that a dense group never becomes a table of its pairs.
@@ -27,9 +28,9 @@ THRESHOLD = 0.98
 #: Vectors of a shard, and of a chunk that is looked up at once (about, as a hash deals them).
 SHARD_ROWS = 8192
 CHUNK_ROWS = 2048
-#: Vectors with partners that are audited, and as many of other shards; fewer than the least say too little.
+#: Vectors with partners that are audited, as many of other shards, and as many probes.
 AUDITED = 512
-LEAST_AUDITED = 64
+PROBES = 256
 #: Vectors whose partners are looked for at once.
 AUDIT_BLOCK = 512
 #: The share of their links that a search must find, the first beam.
@@ -64,19 +65,32 @@ def _with_partners(units: np.ndarray, queries: np.ndarray, own: np.ndarray | Non
     return found
 
 
+def _probes(units: np.ndarray, threshold: float) -> np.ndarray:
+    """Vectors turned away from some of ``units`` by angles up to that of the threshold, the same on every run."""
+    rng = np.random.default_rng(len(units))
+    base = units[rng.choice(len(units), min(PROBES, len(units)), replace=False)]
+    aside = rng.normal(size=base.shape)
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    # In one dimension there is no way aside.
+    aside = np.divide(aside, length, out=np.zeros_like(aside), where=length > 1e-9)
+    cosine = np.linspace(threshold, 1.0, len(base) + 2)[1:-1, None]
+    return _unit(cosine * base + np.sqrt(1 - cosine * cosine) * aside)
+
+
 def audited_beam(graph: Hnsw, units: np.ndarray, threshold: float, others: np.ndarray | None = None) -> tuple[int, float]:
     """The first beam that finds enough, and the recall it has in the audit; beam 0 means: scan the shard.
 
-    Only vectors with partners are audited, a vector is no partner of itself. ``others``
-    are vectors of other shards. The recall is the least of four: over all links and as the
-    mean of the queries, of the shard's own vectors and of the others.
+    Three sides are audited, each over all its links and as the mean of its queries: probes
+    beside the shard's own vectors, which every shard has, vectors that have partners (a vector is no partner
+    of itself), and ``others``, vectors of other shards. The recall is the least of all. Only
+    a graph that fails with a beam as wide as the shard is left for a scan.
     """
     # A stride that shares no factor with the number of rows, so that each comes once.
     stride = next(k for k in range(max(1, int(0.618 * len(units))), len(units) + 2) if math.gcd(k, len(units)) == 1)
     order = np.arange(len(units)) * stride % len(units)
-    sides = [_with_partners(units, units[order], order, threshold)]
-    if len(sides[0]) < LEAST_AUDITED:
-        return 0, 1.0
+    sides = [_with_partners(units, _probes(units, threshold), None, threshold)]
+    sides.append(_with_partners(units, units[order], order, threshold))
     if others is not None and len(others):
         sides.append(_with_partners(units, others, None, threshold))
     beam = FIRST_BEAM
@@ -150,7 +164,10 @@ def build_shards(classes: DataFrame, threshold: float) -> DataFrame:
         "shard", ((F.col("shard") + away) % F.col("n_shards")).cast("int")
     )
     audience = classes.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
-    return audience.groupBy("label", "dim", "shard").applyInPandas(build, schema)
+    keys = ["label", "dim", "shard"]
+    # A task per shard or so: Spark would merge tasks by their bytes, but a graph is work, not bytes.
+    shards = classes.select(*keys).distinct().count()
+    return audience.repartition(max(2 * shards, 1), *keys).groupBy(*keys).applyInPandas(build, schema)
 
 
 def _search(shard: pd.DataFrame, queries: pd.DataFrame, threshold: float, single: bool) -> pd.DataFrame:

@@ -3,10 +3,11 @@
 import numpy as np
 
 import ringwatch.llm.embedding_dups as dups
+from ringwatch.llm.hnsw import Hnsw
 
 
 class Finds:
-    """A search that finds the true neighbours of the rows in ``able``, of others the row itself or nothing."""
+    """A search that finds the true neighbours of the rows in ``able``, of others the nearest row alone."""
 
     def __init__(self, units, able):
         self.vectors, self.able = units.astype(np.float32), able
@@ -16,7 +17,7 @@ class Finds:
         at = int(similar.argmax())
         if at in self.able:
             return np.flatnonzero(similar >= radius).tolist()
-        return [at] if similar[at] > 0.9999 else []
+        return [at] if similar[at] >= radius else []
 
 
 def units(seed, alone, pairs, dense=0):
@@ -28,11 +29,28 @@ def units(seed, alone, pairs, dense=0):
 
 
 def test_a_vector_is_no_partner_of_itself():
+    # A search that finds the nearest vector alone meets every probe, but no partner.
     for pairs in (5, 100):
         vectors = units(1, 20_000 // 40 * pairs // 5, pairs)
         assert dups.audited_beam(Finds(vectors, set()), vectors, 0.98) == (0, 1.0)
 
 
+def test_sparse_vectors_are_audited_by_probes():
+    rng = np.random.default_rng(5)
+    vectors = dups._unit(rng.normal(size=(3000, 32)))
+    probes = dups._probes(vectors, 0.98)
+    nearest = (probes @ vectors.T).max(axis=1)
+    assert len(probes) == dups.PROBES and ((nearest >= 0.98) & (nearest < 1)).all()
+    graph = Hnsw(vectors, range(len(vectors)))
+    beam, recall = dups.audited_beam(graph, vectors, 0.98)
+    assert 0 < beam < len(vectors) and recall >= dups.AUDIT_RECALL
+    # The beam holds for probes that the audit has not seen, too.
+    more = dups._unit(vectors + 0.02 * rng.normal(size=vectors.shape))
+    truth = [set(np.flatnonzero(vectors @ q >= 0.98).tolist()) for q in more[:400]]
+    met = [len(t & set(graph.within(q.astype(np.float32), 0.98 - dups.SLACK, beam))) for t, q in zip(truth, more)]
+    assert sum(met) >= 0.95 * sum(map(len, truth)) > 300
+
+
 def test_a_dense_group_does_not_outweigh_pairs():
     vectors = units(2, 100, 50, dense=400)
     dense = set(range(200, 600))
@@ -46,6 +64,7 @@ def test_vectors_of_other_shards_are_audited():
     others = dups._unit(vectors[:60] + 0.003 * np.random.default_rng(4).normal(size=(60, 64)))
     assert dups.audited_beam(graph, vectors, 0.98, others) == (dups.FIRST_BEAM, 1.0)
     met = graph.within
-    graph.within = lambda q, radius, beam: met(q, radius, beam) if (graph.vectors @ q).max() > 0.99999 else []
+    blind = [q.astype(np.float32) for q in others]
+    graph.within = lambda q, radius, beam: [] if any(np.array_equal(q, b) for b in blind) else met(q, radius, beam)
     assert dups.audited_beam(graph, vectors, 0.98) == (dups.FIRST_BEAM, 1.0)
     assert dups.audited_beam(graph, vectors, 0.98, others) == (0, 1.0)

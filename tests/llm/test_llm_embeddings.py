@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import ringwatch.llm.embedding_dups as dups
 from llm_cases import components
@@ -51,6 +52,22 @@ def test_same_as_all_pairs(spark, monkeypatch, shard_rows):
     assert got(spark, rows) == plain(rows)
 
 
+def test_shards_are_searched_by_their_graphs(spark, monkeypatch):
+    monkeypatch.setattr(dups, "SHARD_ROWS", 128)
+    monkeypatch.setattr(dups, "CHUNK_ROWS", 100)
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(380, 24))
+    vectors = np.concatenate([base, base[:20] + 0.01 * rng.normal(size=(20, 24))]).astype(np.float32)
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    classes = df.selectExpr("vec_id", "label", "size(embedding) as dim", "embedding as vector", "1L as copies", "4 as n_shards", "2 as n_chunks").withColumn(
+        "shard", dups._deal("vec_id", "shard", F.lit(4))
+    )
+    graphs = dups.build_shards(classes, 0.98).collect()
+    assert len(graphs) == 4 and all(0 < r["beam"] and r["recall"] >= dups.AUDIT_RECALL for r in graphs)
+    assert got(spark, rows) == plain(rows)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     v = [1.0, 2.0, 3.0]
