@@ -50,7 +50,8 @@ def _checked(value: str) -> Column:
 
 
 def _urn(page: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))
+    """An id in a header: encoded, so that no sign of it ends the field."""
+    return F.concat(F.lit("<urn:page:"), F.url_encode(F.coalesce(page.cast("string"), F.lit(""))), F.lit(">"))
 
 
 def write_archive(
@@ -150,7 +151,7 @@ def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
         "header",
         "digest",
         kind.alias("record_type"),
-        F.when(refers != "", refers).cast(headers.schema["page_id"].dataType).alias("refers_to"),
+        F.when(kind != RESPONSE, F.url_decode(refers)).cast(headers.schema["page_id"].dataType).alias("refers_to"),
     )
     block = F.when(F.col("record_type") == RESPONSE, F.col("payload")).otherwise(F.lit(b""))
     return (

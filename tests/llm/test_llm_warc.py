@@ -79,3 +79,10 @@ def test_base32(spark):
         hexed = hashlib.sha1(text.encode()).hexdigest()
         got = spark.range(1).select(base32_of_hex(F.lit(hexed))).first()[0]
         assert got == base64.b32encode(bytes.fromhex(hexed)).decode()
+
+
+def test_ids_of_any_text(spark):
+    rows = [(i, "u", body) for body in ("a", "b") for i in ("a>b", "", "ä b+%2F", "z\r\nWARC-Type: response", " ")]
+    rows = [(i + body if body == "b" else i, u, body) for i, u, body in rows]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    assert found(read_records(spark, write_archive(df)).collect()) == plain(rows)
