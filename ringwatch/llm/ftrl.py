@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.tasks import map_batches
-from ringwatch.session import send_package, store
+from ringwatch.llm.tasks import map_batches, quoted
 from ringwatch.llm.wordbpe import Cached
 from ringwatch.llm.words import following, hash_cache, hashed, word_hash
+from ringwatch.session import store
 
 #: Labelled rows that are learned from at most (a few more by chance of the hash).
 TRAIN_ROWS = 16_000
@@ -159,8 +159,11 @@ def labelled_sample(
     draw = F.pmod(F.xxhash64(F.col("id"), F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = F.broadcast(labels.filter(draw < share))
     slim = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    # Repeated rows of one id would be learned more often than others.
-    return slim.join(drawn, slim["doc_id"] == drawn["id"]).drop("id").dropDuplicates(["doc_id"])
+    # Repeated rows of one id would be learned more often than others: that with the smallest hash is taken.
+    found = slim.join(drawn, slim["doc_id"] == drawn["id"]).drop("id")
+    text = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    others = [F.first(quoted(c)).alias(c) for c in labels.columns if c != "id"]
+    return found.groupBy("doc_id").agg(text, *others)
 
 
 def learner_of(id_column: str = "doc_id", learners: int = LEARNERS):
@@ -170,20 +173,31 @@ def learner_of(id_column: str = "doc_id", learners: int = LEARNERS):
 
 def fit(sample: DataFrame, features: dict, settings: Ftrl) -> np.ndarray:
     """The averaged weights of all learners over ``doc_id, text, label``; all 0 for an empty sample."""
-    send_package(sample.sparkSession)
     size = 1 << features.get("bits", BITS)
 
+    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = Features(**features)
+        for batch in batches:
+            found = [make.of(t.as_py()) for t in batch.column(1).cast(pa.binary())]
+            buckets = pa.array([b for b, _ in found], pa.list_(pa.int32()))
+            values = pa.array([v for _, v in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), buckets, values, batch.column(2)], names)
+
     def train(rows: pd.DataFrame) -> pd.DataFrame:
         # Hashed order: the same on every run, and without runs of one class.
         rows = rows.iloc[rows["doc_id"].map(lambda i: hashlib.md5(str(i).encode()).digest()).argsort()]
-        make = Features(**features)
         none = np.zeros(0)
-        inputs = [(*make.of((t or "").encode()), none) for t in rows["text"]]
+        inputs = [(np.asarray(b, dtype=np.int32), v, none) for b, v in zip(rows["buckets"], rows["value"])]
         labels = rows["label"].to_numpy(dtype=float)
         w = learn(inputs, labels, balanced_weights(labels), size, settings)
         at = np.flatnonzero(w)
         return pd.DataFrame({"at": at, "w": w[at], "n": len(rows)})
 
+    # Texts become features where they are; the learner gets a few hundred numbers of each.
+    names = ["doc_id", "buckets", "value", "label"]
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    slim = sample.select("doc_id", "text", F.col("label").cast("int"))
+    sample = store(map_batches(slim, featurise, f"doc_id {kind}, buckets array<int>, value double, label int"), "ftrl-sample")
     parts = (
         sample.withColumn("learner", learner_of())
         .groupBy("learner")

@@ -1,5 +1,6 @@
 """Quality scores and the toxicity chain on held-out labels, and their edge cases."""
 
+import math
 import zlib
 
 import numpy as np
@@ -49,6 +50,51 @@ def test_scores_do_not_depend_on_the_layout(spark):
     assert one == {tuple(r) for r in score_logistic(docs.coalesce(1), labels.repartition(3)).collect()}
 
 
+def test_repeated_ids_do_not_depend_on_the_layout(spark):
+    rows = [(k // 2, f"{'good' if k // 2 % 2 else 'bad'} w{k} w{k % 5}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "id long, label int")
+    chain = labels.selectExpr("id", "1 - label as bad", "label as toxic")
+    scores, chained = set(), set()
+    for n in (1, 2, 5):
+        scores.add(frozenset(map(tuple, score_logistic(docs.repartition(n), labels).collect())))
+        chained.add(frozenset(map(tuple, score_chain(docs.repartition(n), chain, ["bad", "toxic"]).collect())))
+    assert len(scores) == len(chained) == 1
+
+
+def plain_ftrl(rows, labels, weights, size, settings):
+    """The same updates with dictionaries, coordinate by coordinate."""
+    z, n = {}, {}
+    extras = len(rows[0][2])
+
+    def weight(i):
+        penalty = settings.l1 if i < size else 0.0
+        a = z.get(i, 0.0)
+        if abs(a) <= penalty:
+            return 0.0
+        return -(a - penalty * (1 if a > 0 else -1)) / ((settings.beta + n.get(i, 0.0) ** 0.5) / settings.alpha + settings.l2)
+
+    for _ in range(settings.epochs):
+        for (buckets, value, extra), y, c in zip(rows, labels, weights):
+            x = {int(b): value for b in buckets} | {size + k: e for k, e in enumerate(extra)} | {size + extras: 1.0}
+            w = {i: weight(i) for i in x}
+            g = c * (1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items()))) - y)
+            for i, v in x.items():
+                step, had = g * v, n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + step - ((had + step * step) ** 0.5 - had**0.5) / settings.alpha * w[i]
+                n[i] = had + step * step
+    return [weight(i) for i in range(size + extras + 1)]
+
+
+def test_learning_equals_plain_updates():
+    rng = np.random.default_rng(3)
+    rows = [(np.unique(rng.integers(0, 32, 6)).astype(np.int32), 0.5, rng.normal(size=2)) for _ in range(80)]
+    labels = np.array([float(r[0][0] < 4 or r[2][0] > 0.5) for r in rows])
+    settings = Ftrl(alpha=0.7, beta=1.0, l1=0.3, l2=0.1, epochs=3)
+    weights = balanced_weights(labels)
+    assert np.allclose(learn(rows, labels, weights, 32, settings), plain_ftrl(rows, labels, weights, 32, settings), atol=1e-9)
+
+
 def test_learning_uses_later_inputs():
     rng = np.random.default_rng(0)
     extra = rng.integers(0, 2, 300)
