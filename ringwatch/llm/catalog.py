@@ -83,7 +83,7 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return encoding_digests(table(spark, folder, "documents"), vocabulary_path())
+    return encoding_digests(table(spark, folder, "documents"), vocabulary_path(), words_kept=1 << 18)
 
 
 def _held_out(column: str) -> Column:
