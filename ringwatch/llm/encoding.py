@@ -42,19 +42,28 @@ def _renderer(bpe: WordBpe, words_kept: int) -> Callable[[str], tuple[int, str,
     ids_of_part = Cached(bpe.encode_part, words_kept)
 
     def forms(ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), bpe.decode(ids)
+        return len(ids), " ".join([bpe.numbers[i] for i in ids]), bpe.decode(ids)
 
-    of_piece = Cached(lambda piece: forms([i for part in bpe.parts(piece) for i in ids_of_part[part]]), words_kept)
+
+    def of_new(piece: str) -> tuple[int, str, str]:
+        parts = bpe.parts(piece)
+        if len(parts) == 1:
+            return forms(ids_of_part[parts[0]])
+        return forms([i for part in parts for i in ids_of_part[part]])
+
+    of_piece = Cached(of_new, words_kept)
 
     def render(text: str) -> tuple[int, str, str]:
         if bpe.is_plain(text):
             found = list(map(of_piece.__getitem__, text.split()))
         else:
             found = [forms([bpe.special[p]]) if special else of_piece[p] for p, special in bpe.chunks(text)]
-        found = [form for form in found if form[0]]
         if not found:
             return 0, "", ""
         counts, numbers, strings = zip(*found)
+        if 0 in counts:  # pieces without any token leave no space behind
+            found = [form for form in found if form[0]]
+            counts, numbers, strings = zip(*found) if found else ((), (), ())
         return sum(counts), " ".join(numbers), " ".join(strings)
 
     return render

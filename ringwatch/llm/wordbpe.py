@@ -47,12 +47,12 @@ class WordBpe:
         model = content["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.word_end: str = model["end_of_word_suffix"]
-        # A pair of ids in one number -> its rank; rank -> the id of what it makes.
+        # A pair of ids in one number -> its rank, moved to make room for a place; rank -> the id of what it makes.
         self._ranks: dict[int, int] = {}
         self._merged: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self._ranks[self.vocab[left] << ID_BITS | self.vocab[right]] = rank
+            self._ranks[self.vocab[left] << ID_BITS | self.vocab[right]] = rank << PLACE_BITS
             self._merged.append(self.vocab[left + right])
         split = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._parts = regex.compile(split)
@@ -63,6 +63,7 @@ class WordBpe:
         longest_first = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
         self.strings: dict[int, str] = {i: s for s, i in [*self.vocab.items(), *self.special.items()]}
+        self.numbers: dict[int, str] = {i: str(i) for i in self.strings}
 
     def parts(self, text: str) -> list[str]:
         """The pre-tokens of a text without special strings: composed, lower case, split by the pattern."""
@@ -112,7 +113,7 @@ class WordBpe:
     def symbols(self, part: str) -> list[int]:
         """The ids of a pre-token's bytes, that of the last with the word end."""
         data = part.encode()
-        ids = [self._byte_ids[b] for b in data]
+        ids = list(map(self._byte_ids.__getitem__, data))
         if ids:
             ids[-1] = self._last_byte_ids[data[-1]]
         return ids
@@ -122,42 +123,52 @@ class WordBpe:
 
         The symbols are a doubly linked list, from which a merge unlinks the right one.
         The queue holds rank and place in one number; an entry is stale, and skipped,
-        if the pair at its place has not that rank any more.
+        if the pair at its place has another rank by now.
         """
         n = len(symbols)
         if n < 2:
             return symbols
-        rank_of, push, pop = self._ranks.get, heapq.heappush, heapq.heappop
+        rank_of, push, pop, merged = self._ranks.get, heapq.heappush, heapq.heappop, self._merged
         queue = []
+        # The entry of the queue that holds for the pair at each place; others of that place are stale.
+        valid = [-1] * n
+        left = symbols[0]
         for at in range(n - 1):
-            rank = rank_of(symbols[at] << ID_BITS | symbols[at + 1])
+            right = symbols[at + 1]
+            rank = rank_of(left << ID_BITS | right)
             if rank is not None:
-                queue.append(rank << PLACE_BITS | at)
+                valid[at] = rank = rank | at
+                queue.append(rank)
+            left = right
         if not queue:
             return symbols
         heapq.heapify(queue)
-        symbol = list(symbols)
+        symbol = symbols.copy()
         before = list(range(-1, n - 1))
         after = [*range(1, n), -1]
         while queue:
             entry = pop(queue)
             at = entry & PLACE_MASK
-            left, right_at = symbol[at], after[at]
-            if left < 0 or right_at < 0 or rank_of(left << ID_BITS | symbol[right_at]) != entry >> PLACE_BITS:
+            if valid[at] != entry:
                 continue
-            symbol[at] = merged = self._merged[entry >> PLACE_BITS]
-            symbol[right_at] = -1
+            right_at = after[at]
+            symbol[at] = made = merged[entry >> PLACE_BITS]
+            symbol[right_at] = valid[right_at] = valid[at] = -1
             after[at] = nxt = after[right_at]
             if nxt >= 0:
                 before[nxt] = at
-                rank = rank_of(merged << ID_BITS | symbol[nxt])
+                rank = rank_of(made << ID_BITS | symbol[nxt])
                 if rank is not None:
-                    push(queue, rank << PLACE_BITS | at)
+                    valid[at] = rank = rank | at
+                    push(queue, rank)
             prev = before[at]
             if prev >= 0:
-                rank = rank_of(symbol[prev] << ID_BITS | merged)
-                if rank is not None:
-                    push(queue, rank << PLACE_BITS | prev)
+                rank = rank_of(symbol[prev] << ID_BITS | made)
+                if rank is None:
+                    valid[prev] = -1
+                else:
+                    valid[prev] = rank = rank | prev
+                    push(queue, rank)
         return [s for s in symbol if s >= 0]
 
     def encode_part(self, part: str) -> list[int]:
