@@ -32,6 +32,9 @@ from ringwatch.session import store
 SEED = 42
 #: The deepest trees that Spark grows; the published forest has no limit.
 MAX_DEPTH = 30
+#: Least share of all rows in a leaf of the forest. Trees come to the driver: this bounds their leaves
+#: whatever the number of rows, and says nothing at the published size.
+LEAST_SHARE = 1e-6
 
 
 @dataclass
@@ -203,6 +206,7 @@ def fit_forest(
         numTrees=trees,
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
+        minWeightFractionPerNode=LEAST_SHARE,
         maxMemoryInMB=1024,
         seed=SEED,
     )
@@ -366,6 +370,15 @@ def coefficient_report(df: DataFrame, fitted: Fitted) -> DataFrame:
     return _table(df, ranked, "feature string, coef double, abs_coef double, rank int")
 
 
+def coefficient_scores(df: DataFrame, fitted: Fitted) -> DataFrame:
+    """``df`` with ``coefficient_p``: the probability that the rows of :func:`coefficient_report` and the intercept give."""
+    report = {r["feature"]: r["coef"] for r in coefficient_report(df, fitted).collect()}
+    prepared = PipelineModel(fitted.pipeline.stages[:-1]).transform(df)
+    terms = [F.lit(report[c]) * F.col(_filled(fitted.name, c)) for c in fitted.features]
+    line = sum(terms, F.lit(float(fitted.estimator.intercept)))
+    return prepared.select(*df.columns, (1 / (1 + F.exp(-line))).alias("coefficient_p"))
+
+
 def logistic_gradient(train: DataFrame, fitted: Fitted) -> DataFrame:
     """Per feature, the gradient of the penalised objective at the fitted coefficients, per row: 0 at the optimum."""
     facts = facts_of(train, fitted.features, scaled=False, fill="none")

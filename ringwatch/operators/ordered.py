@@ -18,6 +18,8 @@ from ringwatch.operators.keyed import attach_per_key
 from ringwatch.session import freeze
 
 _SLICE = "__slice"
+#: Size of a quantile sketch: some 2.3 / k ** 0.97 of the rows is its error in rank.
+SKETCH_SIZE = 1000
 _ROW_BITS = 33  # monotonically_increasing_id holds the row of a partition in 33 bits
 
 
@@ -140,3 +142,30 @@ def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 def median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Medians of a few columns as driver-side numbers, to be fitted into a plan."""
     return {r["column"]: r["median"] for r in exact_medians(df, columns).collect()}
+
+
+def median_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), k: int = SKETCH_SIZE) -> DataFrame:
+    """``by..., column, n, sketch``: a mergeable quantile sketch per group and column; nulls and NaN ignored.
+
+    For tables that grow by the day: each day's sketches are stored once and only they are
+    merged for a longer time. A larger ``k`` is more exact, see :func:`sketched_medians`.
+    """
+    by = list(by)
+    values = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        by, list(columns), "column", "value"
+    )
+    known = values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return known.groupBy(*by, "column").agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch")
+    )
+
+
+def sketched_medians(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by..., column, n, median`` of the values behind all sketches of a group.
+
+    The median is one of the values, not a mean of two. Its rank is off by about
+    2.3 / k ** 0.97 of the rows at most, with 99 % confidence: 0.3 % for the default ``k``.
+    :func:`exact_medians` remains the default everywhere.
+    """
+    merged = sketches.groupBy(*by, "column").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(*by, "column", "n", F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))

@@ -17,12 +17,14 @@ from ringwatch.plans import prepare, train
 from ringwatch.schema import (
     ACTION_FLAGS,
     BASE_FEATURES,
+    CALL_COLUMNS,
     KEYWORD_PATTERNS,
     SCALED_FEATURES,
     TRAILING_FEATURES,
 )
 from ringwatch.session import checkpoint_root, store
-from ringwatch.sources.calls import load_calls, parse_failures, with_parsed_time
+from ringwatch.sources import number_layout
+from ringwatch.sources.calls import load_calls, parse_failures, read_calls, replace_days, with_parsed_time, write_calls
 from ringwatch.sources.event_calls import read_event_calls
 from ringwatch.streaming import carried, scoring
 
@@ -40,6 +42,8 @@ FILTER = {
     "channels": ["Mobile", "VoIP"],
 }
 BUSY_CALLS = 70
+CORRECTED_DAY = dt.date(2024, 1, 10)
+SKETCH_RANK_ERROR = 0.01
 
 
 def _query(name: str):
@@ -194,6 +198,16 @@ def _(spark, folder):
     )
 
 
+@_query("lookup_stored")
+def _(spark, folder):
+    """The history of a number from calls laid out by number."""
+    path = f"{checkpoint_root(spark)}/by-number-{uuid.uuid4().hex}"
+    number_layout.write_by_number(load_calls(raw_calls(spark, folder)), path)
+    return number_layout.stored_matches(spark, path, LOOKUP_PREFIX).select(
+        "call_id", "caller_number", "ts", "label_5way", "confidence_score"
+    )
+
+
 @_query("lookup_risk")
 def _(spark, folder):
     history = lookup.matching_calls(load_calls(raw_calls(spark, folder)), LOOKUP_PREFIX)
@@ -230,6 +244,25 @@ def _(spark, folder):
     return quality.quality_checks(raw_calls(spark, folder))
 
 
+@_query("csv_round_trip")
+def _(spark, folder):
+    """All calls written as CSV and read back."""
+    path = f"{checkpoint_root(spark)}/csv-{uuid.uuid4().hex}"
+    write_calls(raw_calls(spark, folder), path, "csv")
+    return read_calls(spark, path, "csv")
+
+
+@_query("days_replaced")
+def _(spark, folder):
+    """Calls laid out by date, of which one day is then replaced by its rows in standard spelling."""
+    path = f"{checkpoint_root(spark)}/by-date-{uuid.uuid4().hex}"
+    calls = timed_calls(spark, folder)
+    write_calls(calls, path, by_date=True)
+    day = F.to_date("ts") == F.lit(CORRECTED_DAY)
+    replace_days(cleaning.clean_categories(calls).filter(day), path)
+    return spark.read.schema(calls.schema).parquet(path).select(*CALL_COLUMNS)
+
+
 @_query("checked_write")
 def _(spark, folder):
     """The call table as it is read back after a write that had to pass the checks."""
@@ -423,6 +456,26 @@ def _(spark, folder):
     return _rounded(ordered.exact_medians(raw_calls(spark, folder), names), ["median"])
 
 
+@_query("median_sketches")
+def _(spark, folder):
+    """Whether medians merged from daily sketches have a rank within the stated error of the middle."""
+    names = ["duration_sec", "time_to_next_action_min", "manual_severity", "confidence_score"]
+    calls = timed_calls(spark, folder)
+    daily = store(ordered.median_sketches(calls.withColumn("day", F.to_date("ts")), names, ["day"]), "daily-sketches")
+    found = store(ordered.sketched_medians(daily), "sketched-medians").withColumnRenamed("n", "n_sketched")
+    values = calls.select(*names).unpivot([], names, "column", "value").filter("value is not null")
+    # One row per column.
+    ranked = values.join(F.broadcast(found), "column").groupBy("column", "n_sketched")
+    counts = ranked.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("value") < F.col("median")).alias("below"),
+        F.count_if(F.col("value") <= F.col("median")).alias("upto"),
+    )
+    error = SKETCH_RANK_ERROR
+    near = (F.col("below") <= (0.5 + error) * F.col("n")) & (F.col("upto") >= (0.5 - error) * F.col("n"))
+    return counts.select("column", "n", (near & (F.col("n") == F.col("n_sketched"))).alias("within"))
+
+
 @_query("label_medians")
 def _(spark, folder):
     medians = ordered.exact_medians(clean_calls(spark, folder), ["time_to_next_action_min"], ["label_5way"])
@@ -652,6 +705,62 @@ def _(spark, folder):
     return models.cross_validate(data.train, data.features)
 
 
+@_query("trained_facts")
+def _(spark, folder):
+    """What must hold for each trained model: every test call scored, probabilities, an area far above chance."""
+    data = _data(spark, folder)
+    members = [*train.fit_all(data), models.fit_boosting(data.train, data.features, 200, 0.1, 2, name="tuned")]
+    scored = data.test
+    for member in members:
+        scored = member.score(scored)
+    names = [m.name for m in members]
+    scored = store(scored.select("is_fraud", *[f"{n}_{c}" for n in names for c in ("p", "prediction")]), "trained-scores")
+    outside = scored.select(*[(~F.col(f"{n}_p").between(0, 1)).cast("int").alias(n) for n in names])
+    counts = outside.unpivot([], names, "model", "outside").groupBy("model").agg(
+        F.count("outside").alias("n_scored"), F.sum("outside").alias("n_outside")
+    )
+    # One row per model on either side.
+    both = counts.join(models.compare_models(scored, names).select("model", "roc_auc"), "model")
+    return both.select("model", "n_scored", "n_outside", (F.col("roc_auc") >= 0.9).alias("area_reached"))
+
+
+@_query("saved_scores")
+def _(spark, folder):
+    """Test calls whose score differs between a model and what is loaded of it after saving: none."""
+    data = _data(spark, folder)
+    fitted = _logistic(data)
+    path = f"{checkpoint_root(spark)}/saved-{uuid.uuid4().hex}"
+    models.save_model(fitted, path)
+    before = fitted.score(data.test).withColumnRenamed(f"{fitted.name}_p", "before").drop(f"{fitted.name}_prediction")
+    after = models.load_model(path).score(before)
+    same = F.col("before").eqNullSafe(F.col(f"{fitted.name}_p"))
+    return after.agg(F.count(F.lit(1)).alias("n_calls"), F.count_if(~same).alias("n_different"))
+
+
+@_query("coefficient_scores")
+def _(spark, folder):
+    """Test calls whose probability is not what the reported coefficients give: none."""
+    data = _data(spark, folder)
+    fitted = _logistic(data, fill="zero")
+    both = models.coefficient_scores(fitted.score(data.test), fitted)
+    off = F.abs(F.col("coefficient_p") - F.col(f"{fitted.name}_p")) > 1e-9
+    return both.agg(F.count("coefficient_p").alias("n_calls"), F.count_if(off).alias("n_different"))
+
+
+@_query("importance_facts")
+def _(spark, folder):
+    """What must hold for the importances of the forest: every feature once on both sides, a total of one."""
+    report = train.importance_report(_data(spark, folder))
+    joined = report["comparison"]
+    return joined.agg(
+        F.count_distinct("feature").alias("n_features"),
+        F.count("importance_perm").alias("n_permuted"),
+        F.count("importance_rf").alias("n_impurity"),
+        F.round(F.sum("importance_rf"), 6).alias("total"),
+        F.count_if(F.col("importance_rf") < 0).alias("n_negative"),
+    )
+
+
 # The model stage on two scores that need no training, so that plain SQL can follow it.
 
 
@@ -712,6 +821,14 @@ def _(spark, folder):
     return _rounded(audits.permutation_importance(labelled_calls(spark, folder), fixed), ["importance", "std"])
 
 
+@_query("top_importances_fixed")
+def _(spark, folder):
+    """The first two features by importance."""
+    fixed = models.FixedScore("fixed", FIXED_FEATURES, FIXED_SCORE)
+    found = audits.permutation_importance(labelled_calls(spark, folder), fixed)
+    return explore.top_k(_rounded(found, ["importance", "std"]), 2, "importance", ["feature"])
+
+
 @_query("logreg_gradient")
 def _(spark, folder):
     data = _data(spark, folder)

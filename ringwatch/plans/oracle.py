@@ -7,7 +7,16 @@ parameters of the queries.
 
 from __future__ import annotations
 
-from ringwatch.plans.catalog import BUSY_CALLS, FILTER, FIXED_FEATURES, FIXED_SCORE, KEYWORD_COLUMNS, LOOKUP_NUMBER, LOOKUP_PREFIX
+from ringwatch.plans.catalog import (
+    BUSY_CALLS,
+    CORRECTED_DAY,
+    FILTER,
+    FIXED_FEATURES,
+    FIXED_SCORE,
+    KEYWORD_COLUMNS,
+    LOOKUP_NUMBER,
+    LOOKUP_PREFIX,
+)
 from ringwatch.schema import (
     ACTION_FLAGS,
     BASE_FEATURES,
@@ -508,6 +517,7 @@ def _bodies() -> dict[str, str]:
         ),
         "lookup_history": _matching(LOOKUP_NUMBER, _HISTORY),
         "lookup_history_prefix": _matching(LOOKUP_PREFIX, _HISTORY),
+        "lookup_stored": _matching(LOOKUP_PREFIX, "call_id, caller_number, ts, label_5way, confidence_score"),
         "lookup_risk": (
             "select round(least(greatest(m, 0), 1), 6) as confidence_score, " + _level("m") + " as risk_level, "
             "n as history_count from (select round(avg(confidence_score), 12) as m, count(*) as n from ("
@@ -541,6 +551,12 @@ def _bodies() -> dict[str, str]:
             "max(duration_sec) as max_d, min(confidence_score) as min_c, max(confidence_score) as max_c from calls)"
         ),
         "checked_write": f"select {_ALL} from calls",
+        # Empty text and a missing one are the same in CSV.
+        "csv_round_trip": f"select {_ALL} from (select * replace (nullif(complaint_text, '') as complaint_text) from calls)",
+        "days_replaced": (
+            f"select {_ALL} from timed where cast(ts as date) is distinct from date '{CORRECTED_DAY}' "
+            f"union all select {_ALL} from clean where cast(ts as date) = date '{CORRECTED_DAY}'"
+        ),
         "qa_checks_odd_labels": (
             "select 'known_labels' as check_name, n = 0 as passed, 'rows: ' || n || ', labels: un_known' as message "
             "from (select count(*) filter (label_5way = 'Unknown') as n from calls)"
@@ -641,6 +657,10 @@ def _bodies() -> dict[str, str]:
         ),
         "fraud_label_share": f"select round(avg(case when label_5way in {_FRAUD} then 1.0 else 0.0 end), 6) as fraud_rate from clean",
         "median_profile": _medians("calls", (*_NUMBERS, "confidence_score")),
+        "median_sketches": " union all ".join(
+            f"select {_text(c)} as \"column\", count({c}) as n, true as within from calls"
+            for c in (*_NUMBERS, "confidence_score")
+        ),
         "label_medians": (
             "select label_5way, round(median(time_to_next_action_min), 6) as median from clean group by label_5way"
         ),
@@ -729,6 +749,19 @@ def _bodies() -> dict[str, str]:
         ),
         "label_permutation_fixed": _label_permutation(),
         "permutation_importance_fixed": _permutation_importance(),
+        "top_importances_fixed": (
+            f"select * from ({_permutation_importance()}) order by importance desc nulls last, feature limit 2"
+        ),
+        "trained_facts": (
+            "select model, count(*) as n_scored, 0::bigint as n_outside, true as area_reached from split, "
+            "(values ('logistic'), ('forest'), ('boosting'), ('tuned')) m(model) where split = 'test' group by model"
+        ),
+        "saved_scores": "select count(*) as n_calls, 0::bigint as n_different from split where split = 'test'",
+        "coefficient_scores": "select count(*) as n_calls, 0::bigint as n_different from split where split = 'test'",
+        "importance_facts": (
+            f"select {len(BASE_FEATURES)}::bigint as n_features, {len(BASE_FEATURES)}::bigint as n_permuted, "
+            f"{len(BASE_FEATURES)}::bigint as n_impurity, 1.0::double as total, 0::bigint as n_negative"
+        ),
         "logreg_gradient": " union all ".join(
             f"select {_text(c)} as feature, 0.0::double as gradient" for c in BASE_FEATURES
         ),

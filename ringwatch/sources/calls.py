@@ -67,6 +67,17 @@ def write_calls(df: DataFrame, path: str, sink: str = "parquet", by_date: bool =
     out.save(path)
 
 
+def replace_days(df: DataFrame, path: str) -> None:
+    """Write ``df`` over a table that :func:`write_calls` laid out by date, in the place of the days it has.
+
+    Files of other days are left as they are. Calls without time are a day of their own. A day
+    of which ``df`` has no call is kept, so an empty ``df`` changes nothing.
+    """
+    dated = df.withColumn("call_date", F.to_date("ts")).repartitionByRange(F.col("call_date"), F.xxhash64("call_id"))
+    out = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("call_date").parquet(path)
+
+
 def with_parsed_time(df: DataFrame) -> DataFrame:
     """Add ``ts``, the normalised time of the raw ``timestamp`` text.
 
