@@ -1,30 +1,38 @@
 """Quality rules: a few counts with fixed limits, then a likelihood ratio of hashed n-grams.
 
-Two multinomials over hashed n-grams are counted, one from trusted documents and one
-from the whole raw corpus. A document's score is the mean log ratio of its n-grams, so
-that its length does not matter; it is kept if the score reaches a fixed limit.
+Two multinomials over hashed n-grams are counted, one from all trusted documents but those
+held out and one from the whole raw corpus. A document's score is the mean log ratio of its
+n-grams, so that its length does not matter; it is kept if the score reaches a limit.
 
-The trusted documents are a sample of bounded size (``TRUSTED_ROWS``), picked by a
-hash of their ids; the raw counts and the verdicts cover every document.
+One trusted document of ``HELD_OUT``, by a hash of its id, is not counted. What such documents
+score shows how far clean text that was never counted falls in a corpus of this size: the
+limit is the ``HELD_SHARE`` quantile of their scores, or ``MIN_SCORE`` if that is lower.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.llm.tasks import map_batches, quoted
 from ringwatch.llm.words import following, hash_cache, hashed, repeated_windows
 
-#: Documents that stand for the trusted side at most (a few more by chance of the hash).
-TRUSTED_ROWS = 20_000
+#: Of so many trusted documents one is held out for the limit.
+HELD_OUT = 8
+#: The share of held-out documents that may score below the limit.
+HELD_SHARE = 0.001
+#: Scores are counted in steps of this size, so that the quantile depends on no order of rows.
+STEP = 0.001
 BUCKET_BITS = 16
 ORDERS = (1, 2)
-#: Least mean log ratio per n-gram of a document that is kept, in nats.
+#: The highest limit: least mean log ratio per n-gram of a document that is kept, in nats.
 MIN_SCORE = -0.12
 #: N-grams that are added to each bucket on both sides, so that buckets with few of them say little.
 PRIOR = 10.0
@@ -41,15 +49,9 @@ _BLOCK = 1 << 20
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def bounded_sample(ids: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` of the distinct ids at most, picked by their hash; one column, ``id``.
-
-    The chance is ``rows`` over the number of ids, so the size is bounded whatever the table's.
-    """
-    distinct = ids.toDF("id").filter("id is not null").distinct()
-    share = F.lit(float(rows)) / F.greatest(distinct.agg(F.count(F.lit(1))).scalar(), F.lit(1))
-    draw = F.pmod(F.xxhash64(F.col("id"), F.lit("trusted")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return distinct.filter(draw < share)
+def held_out(id_column: Column) -> Column:
+    """Whether a trusted document is left out of the counts."""
+    return F.pmod(F.xxhash64(id_column, F.lit("held out")), F.lit(HELD_OUT)) == 0
 
 
 def _buckets(hashes: np.ndarray, orders: Sequence[int], bits: int) -> np.ndarray:
@@ -57,10 +59,20 @@ def _buckets(hashes: np.ndarray, orders: Sequence[int], bits: int) -> np.ndarray
     return (grams >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``text`` of the documents whose id is among ``ids``; Spark picks the join by their size."""
+    slim = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.col(quoted(text_column)).alias("text"))
+    wanted = ids.toDF("id")
+    return slim.join(wanted, slim["doc_id"] == wanted["id"], "left_semi").select("text")
+
+
 def ngram_counts(
     docs: DataFrame, trusted: DataFrame, id_column: str, text_column: str, orders: Sequence[int], bits: int
 ) -> DataFrame:
-    """``bucket, trusted, raw``: how often the n-grams of each hash bucket occur; ``trusted`` holds ids."""
+    """``bucket, trusted, raw``: how often the n-grams of each hash bucket occur.
+
+    ``trusted`` holds ids in its only column; a document counts once however often its id is named.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = hash_cache()
@@ -79,25 +91,20 @@ def ngram_counts(
             for text, chosen in zip(texts, batch.column(1).to_pylist()):
                 words = (text.as_py() or b"").split()
                 found = _buckets(hashed(words, cache), orders, bits)
-                waiting[0].append(found)
-                if chosen:
-                    waiting[1].append(found)
+                waiting[int(chosen)].append(found)
                 size += len(found)
                 if size > _BLOCK:
                     flush()
                     size = 0
         flush()
-        seen = np.flatnonzero(counts[0])
+        seen = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen), pa.array(counts[1][seen]), pa.array(counts[0][seen])], ["bucket", "trusted", "raw"]
         )
 
-    chosen = trusted.select(F.col("id").alias("__id"), F.lit(True).alias("__trusted"))
-    slim = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.col(quoted(text_column)).alias("text"))
-    marked = slim.join(F.broadcast(chosen), slim["doc_id"] == chosen["__id"], "left").select(
-        "text", F.coalesce("__trusted", F.lit(False))
-    )
-    parts = map_batches(marked, work, "bucket long, trusted long, raw long")
+    every = docs.select(F.col(quoted(text_column)).alias("text"), F.lit(False))
+    chosen = _texts_of(docs, trusted, id_column, text_column).select("text", F.lit(True))
+    parts = map_batches(every.union(chosen), work, "bucket long, trusted long, raw long")
     return parts.groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw"))
 
 
@@ -147,10 +154,42 @@ class Rules:
         return (*counts, score, failed, not failed and score >= self._min_score)
 
 
+def score_limit(texts: DataFrame, ratios: Broadcast, min_score: float) -> float:
+    """``min_score`` or, if lower, the ``HELD_SHARE`` quantile of the scores of ``texts``, cut to whole steps.
+
+    Texts that the fixed limits reject say nothing about scores. Only counts of scores come to
+    the driver: their number is bounded by the range of log ratios over ``STEP``.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = Rules(ratios.value, ORDERS, BUCKET_BITS, min_score)
+        steps: Counter[int] = Counter()
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                *_, score, failed, _kept = rules.judge(text.as_py())
+                if not failed:
+                    steps[math.floor(score / STEP)] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(steps), pa.int64()), pa.array(list(steps.values()), pa.int64())], ["step", "n"]
+        )
+
+    counts = map_batches(texts, work, "step long, n long").groupBy("step").agg(F.sum("n").alias("n"))
+    rows = sorted((r["step"], r["n"]) for r in counts.collect())
+    allowed = math.floor(HELD_SHARE * sum(n for _, n in rows))
+    for step, n in rows:
+        if n > allowed:
+            return min(min_score, step * STEP)
+        allowed -= n
+    return min_score
+
+
 def _fitted(docs, trusted, id_column, text_column, min_score) -> dict:
-    counts = ngram_counts(docs, trusted, id_column, text_column, ORDERS, BUCKET_BITS)
+    ids = trusted.toDF("id")
+    counts = ngram_counts(docs, ids.filter(~held_out(F.col("id"))), id_column, text_column, ORDERS, BUCKET_BITS)
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(counts, BUCKET_BITS))
-    return {"ratios": ratios, "orders": ORDERS, "bits": BUCKET_BITS, "min_score": min_score}
+    held = _texts_of(docs, ids.filter(held_out(F.col("id"))), id_column, text_column)
+    limit = score_limit(held, ratios, min_score)
+    return {"ratios": ratios, "orders": ORDERS, "bits": BUCKET_BITS, "min_score": limit}
 
 
 def judge_quality(
@@ -162,13 +201,13 @@ def judge_quality(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base counts, score, base_failed, kept.
 
-    ``trusted`` has the ids of documents of known good quality in its only column;
-    at most about ``TRUSTED_ROWS`` of them are used. A null or empty text has all counts
+    ``trusted`` has the ids of documents of known good quality in its only column; repeated
+    ids count once. ``min_score`` is the highest limit, see :func:`score_limit`. A null or empty text has all counts
     0 and score 0 and fails for want of words. Null ids are judged like others and are
     never trusted; rows with the same id are judged each for itself. Without trusted
     documents all scores are 0. An empty table gives an empty table.
     """
-    options = _fitted(docs, bounded_sample(trusted, TRUSTED_ROWS), id_column, text_column, min_score)
+    options = _fitted(docs, trusted, id_column, text_column, min_score)
     ratios = options.pop("ratios")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +233,7 @@ def keep_quality(
     text_column: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that :func:`judge_quality` keeps, with all their columns."""
-    options = _fitted(docs, bounded_sample(trusted, TRUSTED_ROWS), id_column, text_column, min_score)
+    options = _fitted(docs, trusted, id_column, text_column, min_score)
     ratios = options.pop("ratios")
     at = docs.columns.index(text_column)
 

@@ -10,26 +10,29 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from llm_cases import odd_rows
-from ringwatch.llm.quality_rules import BUCKET_BITS, MIN_SCORE, ORDERS, PRIOR, Rules, _buckets, bounded_sample
+from ringwatch.llm.quality_rules import BUCKET_BITS, MIN_SCORE, ORDERS, PRIOR, Rules, _buckets
 from ringwatch.llm.words import hashed
 from test_llm_mixing import plain_mix
+from test_llm_quality import plain_limit, split_ids
 from test_llm_simhash import plain_groups
 from test_llm_templates import plain_drop
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def plain_quality(rows, trusted):
+def plain_quality(rows, counted, held):
     """The rows that the rules keep, by counting n-grams in one place."""
     rules = Rules(np.zeros(1 << BUCKET_BITS), ORDERS, BUCKET_BITS, MIN_SCORE)
     counts = np.zeros((2, 1 << BUCKET_BITS))
     for r in rows:
         found = np.bincount(_buckets(hashed(r["text"].encode().split(), rules._cache), ORDERS, BUCKET_BITS), minlength=1 << BUCKET_BITS)
-        counts[0] += found if r["doc_id"] in trusted else 0
+        counts[0] += found if r["doc_id"] in counted else 0
         counts[1] += found
     expected = counts[1] * (counts[0].sum() / counts[1].sum())
     rules._ratios = np.where(counts[1] > 0, np.log((counts[0] + PRIOR) / (expected + PRIOR)), 0.0)
-    return [r for r in rows if rules.judge(r["text"].encode())[-1]]
+    judged = {r["doc_id"]: rules.judge(r["text"].encode()) for r in rows}
+    limit = plain_limit([j[-3] for d, j in judged.items() if d in held and not j[-2]])
+    return [r for r in rows if not judged[r["doc_id"]][-2] and judged[r["doc_id"]][-3] >= limit]
 
 
 @pytest.fixture(scope="module")
@@ -56,8 +59,7 @@ def test_columns(stages):
 
 def test_quality_stage(spark, stages):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").filter("quality = 1").select("doc_id")
-    trusted = {r["id"] for r in bounded_sample(labels, 20_000).collect()}
-    assert pairs(stages[1][1]) == pairs(plain_quality(stages[0][1], trusted))
+    assert pairs(stages[1][1]) == pairs(plain_quality(stages[0][1], *split_ids(labels)))
 
 
 def test_line_stage(stages):

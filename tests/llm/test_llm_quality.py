@@ -1,12 +1,14 @@
 """Quality rules against plain counts; verdicts on labelled documents."""
 
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_cases import no_rows, odd_rows
-from ringwatch.llm.quality_rules import MIN_SCORE, bounded_sample, judge_quality, keep_quality, log_ratios, ngram_counts
+from ringwatch.llm.quality_rules import HELD_SHARE, MIN_SCORE, STEP, held_out, judge_quality, keep_quality, log_ratios, ngram_counts
 from ringwatch.llm.wordbpe import Cached
 from ringwatch.llm.words import following, hashed, repeated_windows, word_hash
 
@@ -41,17 +43,32 @@ def counts_of(row):
     return tuple(row[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
 
 
+def plain_limit(scores):
+    """The limit from the scores of held-out documents: at most a share of them lies below, in whole steps."""
+    steps = sorted(math.floor(s / STEP) for s in scores)
+    return min(MIN_SCORE, steps[math.floor(HELD_SHARE * len(steps))] * STEP) if steps else MIN_SCORE
+
+
+def split_ids(trusted):
+    """The trusted ids that are counted, and those that are held out."""
+    rows = trusted.toDF("id").select("id", held_out(F.col("id")).alias("held")).collect()
+    return {r["id"] for r in rows if not r["held"]}, {r["id"] for r in rows if r["held"]}
+
+
 def test_counts_on_the_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     trusted = spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 1").select("doc_id")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     rows = judge_quality(docs, trusted).collect()
     assert len(rows) == len(texts)
+    counted, held = split_ids(trusted)
+    assert len(held) and len(counted) > 4 * len(held)
+    limit = plain_limit([r["score"] for r in rows if r["doc_id"] in held and not r["base_failed"]])
     for r in rows:
         want = plain_counts(texts[r["doc_id"]])
         assert counts_of(r) == want
         assert r["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0])
-        assert r["kept"] == (not r["base_failed"] and r["score"] >= MIN_SCORE)
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= limit)
     kept = keep_quality(docs, trusted)
     assert kept.schema == docs.schema
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in rows if r["kept"])
@@ -95,11 +112,19 @@ def test_counts_and_ratios(spark):
     assert not log_ratios(table.limit(0), 4).any()
 
 
-def test_sample_is_bounded(spark):
-    ids = spark.range(5000).union(spark.range(5000))
-    assert 300 < bounded_sample(ids, 400).count() < 500
-    assert bounded_sample(spark.range(50), 400).count() == 50
-    assert bounded_sample(spark.range(0), 400).count() == 0
+def test_the_limit_falls_where_clean_text_scores_low(spark):
+    """A table of copies of few documents: clean text that was held out shares no n-gram with what was counted."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(160)]
+    docs = spark.createDataFrame([(k, texts[k % 160]) for k in range(160 * 30)], "doc_id long, text string")
+    # Of one half of the texts only counted copies are trusted, of the other half only copies that are held out.
+    trusted = docs.filter((F.col("doc_id") % 160 >= 80) == held_out(F.col("doc_id"))).select("doc_id")
+    rows = judge_quality(docs, trusted).collect()
+    counted, held = split_ids(trusted)
+    limit = plain_limit([r["score"] for r in rows if r["doc_id"] in held])
+    assert limit < MIN_SCORE
+    assert all(r["kept"] == (r["score"] >= limit) for r in rows)
+    assert all(r["kept"] for r in rows if r["doc_id"] in held)
 
 
 def test_odd_rows(spark):
