@@ -33,10 +33,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _hash(id_column: str) -> Column:
-    """48 bits that depend on the id alone, so that reruns and lost tasks agree."""
-    text = F.concat(F.lit("mix:"), F.coalesce(F.col(quoted(id_column)).cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+def _hash(id_column: str, text_column: str) -> Column:
+    """48 bits that depend on id and text alone, so that reruns and lost tasks agree."""
+    digests = [F.md5(F.coalesce(F.col(quoted(c)).cast("string"), F.lit(""))) for c in (id_column, text_column)]
+    return F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), *digests)), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
@@ -144,15 +144,15 @@ def mix(
     words times that. The targets of all sources add up to the words of the corpus.
 
     Null and empty texts have size 0 and count for nothing; a null source is a source,
-    the last; a source without words has target 0. Rows with the same id share their
-    fate, a null id counts as one. An empty table gives an empty table. A column that
+    the last; a source without words has target 0. Rows with the same id and the same
+    text share their fate; rows of one id or of none with different texts do not. An empty table gives an empty table. A column that
     has the name of ``into`` already is replaced; other columns stay whatever their names.
     """
     slim = store(
         docs.select(
             F.col(quoted(source_column)).cast("string").alias("source"),
             word_count(F.col(quoted(text_column))).alias("size"),
-            _hash(id_column).alias("hash"),
+            _hash(id_column, text_column).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -176,7 +176,7 @@ def mix(
         "mix-thresholds",
     )
     joined = rows.join(per_source, F.col(quoted(source_column)).cast("string").eqNullSafe(F.col(joined_on)), "left")
-    copies = F.col(f"{plan}.rounds") + (_hash(id_column) < F.col(f"{plan}.threshold")).cast("int")
+    copies = F.col(f"{plan}.rounds") + (_hash(id_column, text_column) < F.col(f"{plan}.threshold")).cast("int")
     size = word_count(F.col(quoted(text_column)))
     return joined.select(
         *[F.col(quoted(c)) for c in rows.columns],

@@ -21,7 +21,7 @@ OP8 = r"""
 WITH d AS (
   SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS h
+    substr(md5('mix:' || md5(coalesce(CAST(doc_id AS VARCHAR), '')) || md5(coalesce(text, ''))), 1, 12) AS h
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

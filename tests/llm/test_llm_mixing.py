@@ -27,8 +27,14 @@ def plain_targets(sizes, weights=(5, 2, 1), cap=3):
         cut |= above
 
 
+def plain_hash(doc_id, text):
+    parts = [hashlib.md5(("" if v is None else str(v)).encode()).hexdigest() for v in (doc_id, text)]
+    return hashlib.md5(f"mix:{''.join(parts)}".encode()).hexdigest()[:12]
+
+
 def plain_mix(rows):
     """(doc_id, source, text) -> doc_id -> size, source size, target, taken."""
+    place = {d: plain_hash(d, t) for d, _, t in rows}
     size = {d: len(WORD.findall(t or "")) for d, _, t in rows}
     source = {d: s for d, s, _ in rows}
     sizes = {}
@@ -39,7 +45,7 @@ def plain_mix(rows):
         rounds = min(int(targets[s] // total), 3) if total else 0
         rest = targets[s] - rounds * total
         before, extra, open_ = 0, set(), rest > 0
-        for d in sorted((d for d in size if source[d] == s), key=lambda d: hashlib.md5(f"mix:{d}".encode()).hexdigest()[:12]):
+        for d in sorted((d for d in size if source[d] == s), key=place.get):
             if open_ and (before + size[d] <= rest or 2 * (rest - before) > size[d]):
                 extra.add(d)
             open_ = open_ and before + size[d] <= rest
@@ -83,6 +89,14 @@ def test_reruns_agree_however_rows_lie(spark):
     assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
 
 
+def test_rows_without_id_do_not_share_their_fate(spark):
+    rows = [(None if k < 150 else k, f"s{k % 2}", f"{'w ' * 20}t{k}") for k in range(300)]
+    found = mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    for source in ("s0", "s1"):
+        mine = [r["mix"] for r in found if r["source"] == source]
+        assert abs(sum(m["taken"] for m in mine) - mine[0]["target"]) <= 21
+
+
 def test_no_python_in_the_plan(spark):
     df = mix(spark.createDataFrame(corpus(1), "doc_id long, source string, text string"))
     plan = df._jdf.queryExecution().toString()
