@@ -17,12 +17,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.llm.tasks import map_batches, quoted
 from ringwatch.llm.words import following, hash_cache, hashed, repeated_windows
+from ringwatch.session import store
 
 #: Of so many trusted documents one is held out for the limit.
 HELD_OUT = 8
@@ -45,6 +47,8 @@ _SYMBOLS = b"#*$%&|<>"
 _NOT_IN_WORDS = bytes([0x20, *range(0x09, 0x0E), *range(0x80, 0xC0)])
 # N-grams that are gathered before they are counted.
 _BLOCK = 1 << 20
+# What a text is counted for.
+_RAW, _TRUSTED, _HELD = 0, 1, 2
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -59,19 +63,13 @@ def _buckets(hashes: np.ndarray, orders: Sequence[int], bits: int) -> np.ndarray
     return (grams >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``text`` of the documents whose id is among ``ids``; Spark picks the join by their size."""
-    slim = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.col(quoted(text_column)).alias("text"))
-    wanted = ids.toDF("id")
-    return slim.join(wanted, slim["doc_id"] == wanted["id"], "left_semi").select("text")
-
-
-def ngram_counts(
+def gather(
     docs: DataFrame, trusted: DataFrame, id_column: str, text_column: str, orders: Sequence[int], bits: int
 ) -> DataFrame:
-    """``bucket, trusted, raw``: how often the n-grams of each hash bucket occur.
+    """What one pass over the corpus leaves: ``bucket, trusted, raw`` of each task, and ``text`` of held-out documents.
 
     ``trusted`` holds ids in its only column; a document counts once however often its id is named.
+    Its texts are found by a merge join whatever the number of ids, so that cost grows evenly.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,30 +79,44 @@ def ngram_counts(
         size = 0
 
         def flush() -> None:
-            for side in (0, 1):
+            for side in (_RAW, _TRUSTED):
                 if waiting[side]:
                     counts[side] += np.bincount(np.concatenate(waiting[side]), minlength=1 << bits)
                     waiting[side].clear()
 
         for batch in batches:
             texts = batch.column(0).cast(pa.binary())
-            for text, chosen in zip(texts, batch.column(1).to_pylist()):
-                words = (text.as_py() or b"").split()
-                found = _buckets(hashed(words, cache), orders, bits)
-                waiting[int(chosen)].append(found)
+            for text, side in zip(texts, batch.column(1).to_pylist()):
+                if side == _HELD:
+                    continue
+                found = _buckets(hashed((text.as_py() or b"").split(), cache), orders, bits)
+                waiting[side].append(found)
                 size += len(found)
                 if size > _BLOCK:
                     flush()
                     size = 0
+            held = batch.column(0).filter(pc.equal(batch.column(1), _HELD))
+            if len(held):
+                nothing = pa.nulls(len(held), pa.int64())
+                yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, held], names)
         flush()
         seen = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(counts[1][seen]), pa.array(counts[0][seen])], ["bucket", "trusted", "raw"]
-        )
+        columns = [pa.array(c) for c in (seen, counts[_TRUSTED][seen], counts[_RAW][seen])]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(seen), pa.string())], names)
+
+    names = ["bucket", "trusted", "raw", "text"]
+    slim = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.col(quoted(text_column)).alias("text"))
+    wanted = trusted.toDF("id").hint("merge")
+    chosen = slim.join(wanted, slim["doc_id"] == wanted["id"], "left_semi").select(
+        "text", F.when(held_out(F.col("doc_id")), F.lit(_HELD)).otherwise(F.lit(_TRUSTED))
+    )
+    every = slim.select("text", F.lit(_RAW)).union(chosen)
+    return store(map_batches(every, work, "bucket long, trusted long, raw long, text string"), "quality-counts")
+
 
-    every = docs.select(F.col(quoted(text_column)).alias("text"), F.lit(False))
-    chosen = _texts_of(docs, trusted, id_column, text_column).select("text", F.lit(True))
-    parts = map_batches(every.union(chosen), work, "bucket long, trusted long, raw long")
+def ngram_counts(gathered: DataFrame) -> DataFrame:
+    """``bucket, trusted, raw``: how often the n-grams of each hash bucket occur."""
+    parts = gathered.filter("bucket is not null")
     return parts.groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw"))
 
 
@@ -184,11 +196,9 @@ def score_limit(texts: DataFrame, ratios: Broadcast, min_score: float) -> float:
 
 
 def _fitted(docs, trusted, id_column, text_column, min_score) -> dict:
-    ids = trusted.toDF("id")
-    counts = ngram_counts(docs, ids.filter(~held_out(F.col("id"))), id_column, text_column, ORDERS, BUCKET_BITS)
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(counts, BUCKET_BITS))
-    held = _texts_of(docs, ids.filter(held_out(F.col("id"))), id_column, text_column)
-    limit = score_limit(held, ratios, min_score)
+    gathered = gather(docs, trusted, id_column, text_column, ORDERS, BUCKET_BITS)
+    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(ngram_counts(gathered), BUCKET_BITS))
+    limit = score_limit(gathered.filter("bucket is null").select("text"), ratios, min_score)
     return {"ratios": ratios, "orders": ORDERS, "bits": BUCKET_BITS, "min_score": limit}
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_cases import no_rows, odd_rows
-from ringwatch.llm.quality_rules import HELD_SHARE, MIN_SCORE, STEP, held_out, judge_quality, keep_quality, log_ratios, ngram_counts
+from ringwatch.llm.quality_rules import HELD_SHARE, MIN_SCORE, STEP, gather, held_out, judge_quality, keep_quality, log_ratios, ngram_counts
 from ringwatch.llm.wordbpe import Cached
 from ringwatch.llm.words import following, hashed, repeated_windows, word_hash
 
@@ -97,14 +97,17 @@ def test_repeated_windows(seed):
 
 
 def test_counts_and_ratios(spark):
-    docs = spark.createDataFrame([(1, "a b a"), (2, "b b"), (3, None)], "doc_id long, text string")
-    trusted = spark.createDataFrame([(1,), (None,)], "id long")
-    rows = {r["bucket"]: (r["trusted"], r["raw"]) for r in ngram_counts(docs, trusted, "doc_id", "text", (1,), 16).collect()}
+    held, known = (spark.range(1, 100).filter(c).first()[0] for c in (held_out(F.col("id")), ~held_out(F.col("id"))))
+    docs = spark.createDataFrame([(known, "a b a"), (held, "b b"), (200, None), (None, "b")], "doc_id long, text string")
+    trusted = spark.createDataFrame([(known,), (None,), (known,), (held,)], "id long")
+    gathered = gather(docs, trusted, "doc_id", "text", (1,), 16)
+    assert [r["text"] for r in gathered.filter("bucket is null").collect()] == ["b b"]
+    rows = {r["bucket"]: (r["trusted"], r["raw"]) for r in ngram_counts(gathered).collect()}
 
     def bucket(w):
         return int(following(np.array([word_hash(w)], dtype=np.uint64), 1)[0] >> np.uint64(48))
 
-    assert rows == {bucket(b"a"): (2, 2), bucket(b"b"): (1, 3)}
+    assert rows == {bucket(b"a"): (2, 2), bucket(b"b"): (1, 4)}
     table = spark.createDataFrame([(0, 6, 6), (1, 0, 6)], "bucket long, trusted long, raw long")
     ratios = log_ratios(table, 4)
     assert ratios[0] == pytest.approx(np.log(16 / 13)) and ratios[1] == pytest.approx(np.log(10 / 13))
