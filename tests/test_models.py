@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ringwatch.operators import audits, evaluate, models, ordered
@@ -226,3 +227,14 @@ def test_stream_drops_repeats(spark, raw, tmp_path):
     scoring.write_scores(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.exceptAll(raw.distinct()).count() == 0 and got.count() == raw.distinct().count()
+
+
+def test_models_score_in_a_session_that_has_observed(spark):
+    """What was observed stays with the session, which a model must not send along."""
+    rows = [(f"c{i}", i % 2, float(i % 7 + 3 * (i % 2)), float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "call_id string, is_fraud int, a double, b double")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 60
+    for member in (models.fit_logistic(df, ["a", "b"], scaled=False), models.fit_forest(df, ["a", "b"], trees=3)):
+        assert member.score(df).filter(F.col(f"{member.name}_p").between(0, 1)).count() == 60
