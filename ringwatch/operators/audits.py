@@ -74,29 +74,35 @@ def permutation_importance(
     """Mean and population deviation of the AUC lost when a feature is shuffled.
 
     In each repeat a call takes the feature value of the next call in a random
-    ring. All repeats are paired by one join, then every feature is swapped and
-    scored in one pass; the areas are computed per (feature, repeat) together.
+    ring. All repeats are paired by one join, then every feature is swapped; only
+    calls that get another value by this are scored again, the others keep the score
+    they have. The areas are computed per (feature, repeat) together.
     """
     features = fitted.features
-    base_rows = store(valid.select("call_id", "is_fraud", *features), "validation")
-    base = roc_auc(fitted.score(base_rows), f"{fitted.name}_p").scalar()
+    score = f"{fitted.name}_p"
+    valid_rows = store(valid.select("call_id", "is_fraud", *features), "validation")
+    base_rows = store(fitted.score(valid_rows).select(*valid_rows.columns, F.col(score).alias("__p")), "validation-scores")
+    base = roc_auc(base_rows, "__p").scalar()
     n = base_rows.agg(F.count(F.lit(1))).scalar()
     places = store(_in_random_order(base_rows.select("call_id"), repeats, seed), "places")
     placed = places.join(base_rows, "call_id")
     donor_place = F.pmod(F.col("place") - 1, n).alias("place")
     donors = placed.select("repeat", donor_place, F.struct(*features).alias("donor"))
-    pairs = placed.join(donors, ["repeat", "place"])
+    pairs = store(placed.join(donors, ["repeat", "place"]).drop("call_id", "place"), "pairs")
     swaps = F.array(
         *[
             F.struct(
                 F.lit(c).alias("feature"),
+                F.col(f"donor.{c}").eqNullSafe(F.col(c)).alias("__same"),
                 *[(F.col(f"donor.{x}") if x == c else F.col(x)).alias(x) for x in features],
             )
             for c in features
         ]
     )
-    swapped = pairs.select("is_fraud", "repeat", F.inline(swaps))
-    areas = roc_auc(fitted.score(swapped), f"{fitted.name}_p", ["feature", "repeat"])
+    swapped = pairs.select("is_fraud", "repeat", "__p", F.inline(swaps))
+    kept = swapped.filter("__same").select("is_fraud", "repeat", "feature", F.col("__p").alias(score))
+    changed = fitted.score(swapped.filter("not __same").drop("__same", "__p"))
+    areas = roc_auc(changed.select(*kept.columns).unionByName(kept), score, ["feature", "repeat"])
     lost = areas.withColumn("lost", base - F.col("roc_auc"))
     return (
         lost.groupBy("feature")

@@ -238,3 +238,21 @@ def test_models_score_in_a_session_that_has_observed(spark):
     assert seen.get["n"] == 60
     for member in (models.fit_logistic(df, ["a", "b"], scaled=False), models.fit_forest(df, ["a", "b"], trees=3)):
         assert member.score(df).filter(F.col(f"{member.name}_p").between(0, 1)).count() == 60
+
+
+def test_permutation_scores_only_calls_that_change(spark):
+    rows = [(f"c{i}", i % 2, 1.0 if i == 5 else None, float(i % 9)) for i in range(40)]
+    df = spark.createDataFrame(rows, "call_id string, is_fraud int, a double, b double").repartition(3)
+    seen = []
+
+    class Spied(models.FixedScore):
+        def score(self, df):
+            seen.append(df)
+            return super().score(df)
+
+    fixed = Spied("fixed", ["a", "b"], "coalesce(a, 0) + b / 10")
+    table = {r["feature"]: r for r in audits.permutation_importance(df, fixed, repeats=2).collect()}
+    assert set(table) == {"a", "b"} and table["b"]["std"] > 0
+    # The one value of ``a`` leaves its call and comes to another.
+    assert [x.count() for x in seen][0] == 40 and seen[1].filter("feature = 'a'").count() == 4
+    assert seen[1].filter("feature = 'b'").count() <= 80
