@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.ftrl import BITS, Features, Ftrl, _sigmoid, balanced_weights, labelled_sample, learn
+from ringwatch.llm.ftrl import BITS, SAMPLE_TASKS, Features, Ftrl, _sigmoid, balanced_weights, labelled_sample, learn
 from ringwatch.llm.tasks import map_batches
 from ringwatch.session import send_package, store
 
@@ -94,7 +94,7 @@ def fit_chain(sample: DataFrame, categories: Sequence[str]) -> list[np.ndarray]:
     """The weights of each category's model, in order: hashed features, earlier categories, intercept."""
     send_package(sample.sparkSession)
     size = 1 << FEATURES["bits"]
-    rows = store(_featurised(sample, categories), "chain-sample")
+    rows = store(_featurised(sample, categories).coalesce(SAMPLE_TASKS), "chain-sample")
     models: list[np.ndarray] = []
     earlier: list[str] = []
     for k, category in enumerate(categories):
@@ -109,7 +109,7 @@ def fit_chain(sample: DataFrame, categories: Sequence[str]) -> list[np.ndarray]:
         if not last:
             name = f"__p{k}"
             predicted = step.filter("at < 0").select("doc_id", F.col("p").alias(name))
-            rows = store(rows.join(predicted, "doc_id"), "chain-sample")
+            rows = store(rows.join(predicted, "doc_id").coalesce(SAMPLE_TASKS), "chain-sample")
             earlier.append(name)
     return models
 
