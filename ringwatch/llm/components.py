@@ -3,6 +3,7 @@
 Each round is two aggregations over the links. All links of a node go to its smallest
 neighbour (large star), then links among smaller ones are hung below the smallest
 (small star); the number of rounds grows with the logarithm of the longest chain.
+No side of a join is broadcast: Spark would size links by their files, and both directions as one.
 """
 
 from __future__ import annotations
@@ -34,10 +35,10 @@ def connected_components(links: DataFrame) -> DataFrame:
         # Large star: a node's larger neighbours are linked to the smallest of it and its neighbours.
         around = _both_ways(current.filter("a < b"))
         least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = around.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b").distinct()
+        large = around.filter("b > a").join(least.hint("merge"), "a").select(F.col("m").alias("a"), "b").distinct()
         # Small star: of a node's smaller neighbours the smallest gets the node and the others.
         below = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(below, "b").select(
+        small = large.join(below.hint("merge"), "b").select(
             F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b")
         )
         current = store(small.filter("a < b").distinct(), "components")

@@ -198,8 +198,9 @@ def near_fingerprints(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
     left = keyed.filter("home").select("key", F.col("fp").alias("a"))
     right = keyed.filter("not home").select("key", F.col("fp").alias("b"))
     difference = F.col("a").bitwiseXOR(F.col("b"))
+    # Spark sizes the keys by the fingerprints they are made of, a seventieth of them, and would broadcast them.
     return left.join(
-        right,
+        right.hint("merge"),
         (left["key"] == right["key"])
         & (F.col("a") < F.col("b"))
         & (F.bit_count(difference) <= max_bits)
@@ -211,14 +212,15 @@ def near_fingerprints(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
 def group_firsts(prints: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
     """``fp, first``: for each fingerprint the smallest ``key`` of all rows that links reach."""
     classes = store(prints.groupBy("fp").agg(F.min(key).alias("smallest")), "simhash-classes")
+    # None of these tables is bounded, and files are smaller than their rows: nothing is broadcast by its size.
     members = connected_components(near_fingerprints(classes, max_bits))  # fingerprints with links only
     named = (
-        members.join(classes, members["node"] == classes["fp"])
+        members.join(classes.hint("merge"), members["node"] == classes["fp"])
         .groupBy("component")
         .agg(F.min("smallest").alias("least"))
     )
-    linked = members.join(named, "component").select(F.col("node").alias("fp"), "least")
-    return classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "smallest").alias("first"))
+    linked = members.join(named.hint("merge"), "component").select(F.col("node").alias("fp"), "least")
+    return classes.join(linked.hint("merge"), "fp", "left").select("fp", F.coalesce("least", "smallest").alias("first"))
 
 
 def simhash_groups(
@@ -243,7 +245,7 @@ def simhash_groups(
     prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
     firsts = group_firsts(prints, "doc_id", max_bits)
     # Both sides are read anew, so that Spark can split the rows of a common fingerprint.
-    return prints.join(store(firsts, "simhash-firsts"), "fp").select(
+    return prints.join(store(firsts, "simhash-firsts").hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
     )
 
@@ -272,5 +274,5 @@ def drop_near_copies(
     )
     prints = store(with_fingerprint(slim, "text", shingle_words), "simhash-prints")
     firsts = group_firsts(prints, "key", max_bits).select(F.col("first.row").alias(name)).distinct()
-    kept = docs.withColumn(name, row).join(firsts, name)
+    kept = docs.withColumn(name, row).join(firsts.hint("merge"), name)
     return kept.dropDuplicates([name]).select(*[F.col(quoted(c)) for c in docs.columns])
