@@ -159,8 +159,9 @@ def line_templates(lines: DataFrame, min_docs: int, depth: int, min_constant_per
     together, or words met by chance. Lines that have too few constants, or neither a
     variable field nor a token with digits, are not in the result.
     """
+    # Spark would size stored tables by their files and exploded ones by what they come from: no join may broadcast.
     several = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf")
-    varied = lines.join(store(several, "template-leaves"), "leaf", "left_semi")
+    varied = lines.join(store(several, "template-leaves").hint("merge"), "leaf", "left_semi")
     tail = F.slice("tokens", depth + 1, F.size("tokens"))
     places = (
         varied.select(
@@ -181,7 +182,7 @@ def line_templates(lines: DataFrame, min_docs: int, depth: int, min_constant_per
         .filter(F.col("support") >= min_docs),
         "template-supports",
     )
-    frequent = places.join(supports, ["leaf", "place", "token"]).select("leaf", "line", "n", "field", "rows", "place", "token", "support")
+    frequent = places.join(supports.hint("merge"), ["leaf", "place", "token"]).select("leaf", "line", "n", "field", "rows", "place", "token", "support")
     found = (
         frequent.groupBy("leaf", "line")
         .agg(
@@ -205,7 +206,7 @@ def line_templates(lines: DataFrame, min_docs: int, depth: int, min_constant_per
     true = store(
         together.filter(100 * F.col("rows") >= SHARE_PERCENT * F.col("usual")).select("leaf", "template"), "template-true"
     )
-    return templates.select("leaf", "line", "template").join(true, ["leaf", "template"], "left_semi")
+    return templates.select("leaf", "line", "template").join(true.hint("merge"), ["leaf", "template"], "left_semi")
 
 
 def _row(id_column: str, text_column: str) -> Column:
@@ -262,11 +263,11 @@ def repeated_lines(
     )
     named = store(line_templates(lines, min_docs, depth, min_constant_percent), "template-names")
     placed = candidates.select("row", "doc", "line_no", "leaf", "line")
-    templates = store(_firsts(placed.join(named, ["leaf", "line"]), "template", min_docs), "template-recurring")
-    general = store(named.join(templates, ["leaf", "template"]).drop("template"), "template-general")
+    templates = store(_firsts(placed.join(named.hint("merge"), ["leaf", "line"]), "template", min_docs), "template-recurring")
+    general = store(named.join(templates.hint("merge"), ["leaf", "template"]).drop("template"), "template-general")
     exact = store(_firsts(placed, "line", exact_docs), "template-exact")
-    firsts = store(general.unionByName(exact.join(general, ["leaf", "line"], "left_anti")), "template-firsts")
-    again = placed.join(firsts, ["leaf", "line"]).filter(
+    firsts = store(general.unionByName(exact.join(general.hint("merge"), ["leaf", "line"], "left_anti")), "template-firsts")
+    again = placed.join(firsts.hint("merge"), ["leaf", "line"]).filter(
         (F.col("row") != F.col("first_row")) | (F.col("line_no") != F.col("first_line"))
     )
     return again.select("row", "line_no")
@@ -293,7 +294,7 @@ def drop_repeated_lines(
         .groupBy(F.col("row").alias(row))
         .agg(F.collect_set("line_no").alias(gone))
     )
-    marked = kept.withColumn(row, _row(id_column, text_column)).join(drops, row, "left").drop(row)
+    marked = kept.withColumn(row, _row(id_column, text_column)).join(drops.hint("merge"), row, "left").drop(row)
     at = kept.columns.index(text_column)
     names = [*kept.columns, *(["n_lines", "n_dropped"] if counts else [])]
     n_columns = len(kept.columns)

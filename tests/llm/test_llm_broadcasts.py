@@ -2,7 +2,7 @@
 
 import pytest
 
-from ringwatch.llm import components, simhash
+from ringwatch.llm import components, simhash, templates
 
 
 @pytest.fixture
@@ -20,7 +20,7 @@ def plans(spark, monkeypatch):
 
         monkeypatch.setattr(module, "store", store)
 
-    for module in (components, simhash):
+    for module in (components, simhash, templates):
         noting(module)
     return found
 
@@ -39,3 +39,10 @@ def test_near_copies(spark, folder, plans):
     plans += [plan(simhash.simhash_groups(docs)), plan(simhash.drop_near_copies(docs))]
     assert sum("SortMergeJoin" in p for p in plans) >= 6
     assert not any("Broadcast" in p for p in plans)
+
+
+def test_lines(spark, folder, plans):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plans.append(plan(templates.drop_repeated_lines(docs)))
+    assert sum("SortMergeJoin" in p for p in plans) >= 4
+    assert not any("Broadcast" in p for p in plans)
