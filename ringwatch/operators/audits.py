@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.operators import swapped
 from ringwatch.operators.evaluate import roc_auc
-from ringwatch.operators.models import SEED, Fitted, FixedScore
+from ringwatch.operators.models import SEED, Fitted, FixedScore, filled_columns
 from ringwatch.operators.ordered import mid_ranks, random_choices, random_key, row_numbers
 from ringwatch.session import store
 
@@ -68,27 +72,41 @@ def single_feature_auc(train: DataFrame, test: DataFrame, features: Sequence[str
     return roc_auc(long, "score", ["feature"]).orderBy(F.desc("roc_auc"), "feature")
 
 
-def permutation_importance(
-    valid: DataFrame, fitted: Fitted | FixedScore, repeats: int = 10, seed: int = SEED
-) -> DataFrame:
-    """Mean and population deviation of the AUC lost when a feature is shuffled.
+#: Pairs of a call and a donor that one task scores.
+PAIRS_PER_TASK = 50_000
 
-    In each repeat a call takes the feature value of the next call in a random
-    ring. All repeats are paired by one join, then every feature is swapped; only
-    calls that get another value by this are scored again, the others keep the score
-    they have. The areas are computed per (feature, repeat) together.
-    """
-    features = fitted.features
-    score = f"{fitted.name}_p"
-    valid_rows = store(valid.select("call_id", "is_fraud", *features), "validation")
+
+def _paired(rows: DataFrame, donated, repeats: int, seed: int) -> DataFrame:
+    """Each row once per ``repeat``, with what the next call in a random ring gives as ``donor``."""
+    n = rows.agg(F.count(F.lit(1))).scalar()
+    places = store(_in_random_order(rows.select("call_id"), repeats, seed), "places")
+    placed = places.join(rows, "call_id")
+    donors = placed.select("repeat", F.pmod(F.col("place") - 1, n).alias("place"), donated.alias("donor"))
+    return placed.join(donors, ["repeat", "place"])
+
+
+def _forest_areas(valid_rows: DataFrame, fitted: Fitted, repeats: int, seed: int) -> DataFrame:
+    """``feature, repeat, roc_auc, base``, all features and repeats of a call going down the trees together."""
+    trees, thresholds = swapped.trees_of(valid_rows, fitted.estimator)
+    filled = PipelineModel(fitted.pipeline.stages[:1]).transform(valid_rows)
+    codes = swapped.coded(filled, filled_columns(fitted), thresholds, ["call_id", "is_fraud"])
+    rows = store(codes, "validation-codes")
+    n = rows.count()
+    pairs = _paired(rows, F.col("codes"), repeats, seed)
+    # The repeats of a call lie together, so that its paths are found once.
+    together = pairs.repartition(max(1, math.ceil(n * repeats / PAIRS_PER_TASK)), "call_id").sortWithinPartitions("call_id")
+    areas = store(swapped.areas(rows, together, trees, len(fitted.features), n), "permuted-areas")
+    base = areas.filter(F.col("feature") == swapped.BASE).select("roc_auc").scalar()
+    name = F.element_at(F.lit(fitted.features), F.col("feature") + 1)
+    return areas.filter("feature >= 0").select(name.alias("feature"), "repeat", "roc_auc", base.alias("base"))
+
+
+def _scored_areas(valid_rows: DataFrame, fitted: Fitted | FixedScore, repeats: int, seed: int) -> DataFrame:
+    """``feature, repeat, roc_auc, base`` of any model: only calls that get another value are scored again."""
+    features, score = fitted.features, f"{fitted.name}_p"
     base_rows = store(fitted.score(valid_rows).select(*valid_rows.columns, F.col(score).alias("__p")), "validation-scores")
     base = roc_auc(base_rows, "__p").scalar()
-    n = base_rows.agg(F.count(F.lit(1))).scalar()
-    places = store(_in_random_order(base_rows.select("call_id"), repeats, seed), "places")
-    placed = places.join(base_rows, "call_id")
-    donor_place = F.pmod(F.col("place") - 1, n).alias("place")
-    donors = placed.select("repeat", donor_place, F.struct(*features).alias("donor"))
-    pairs = store(placed.join(donors, ["repeat", "place"]).drop("call_id", "place"), "pairs")
+    pairs = store(_paired(base_rows, F.struct(*features), repeats, seed).drop("call_id", "place"), "pairs")
     swaps = F.array(
         *[
             F.struct(
@@ -99,11 +117,27 @@ def permutation_importance(
             for c in features
         ]
     )
-    swapped = pairs.select("is_fraud", "repeat", "__p", F.inline(swaps))
-    kept = swapped.filter("__same").select("is_fraud", "repeat", "feature", F.col("__p").alias(score))
-    changed = fitted.score(swapped.filter("not __same").drop("__same", "__p"))
+    swaps_made = pairs.select("is_fraud", "repeat", "__p", F.inline(swaps))
+    kept = swaps_made.filter("__same").select("is_fraud", "repeat", "feature", F.col("__p").alias(score))
+    changed = fitted.score(swaps_made.filter("not __same").drop("__same", "__p"))
     areas = roc_auc(changed.select(*kept.columns).unionByName(kept), score, ["feature", "repeat"])
-    lost = areas.withColumn("lost", base - F.col("roc_auc"))
+    return areas.withColumn("base", base)
+
+
+def permutation_importance(
+    valid: DataFrame, fitted: Fitted | FixedScore, repeats: int = 10, seed: int = SEED
+) -> DataFrame:
+    """Mean and population deviation of the AUC lost when a feature is shuffled.
+
+    In each repeat a call takes the feature value of the next call in a random
+    ring. All repeats are paired by one join, then every feature is swapped; the
+    areas are computed per (feature, repeat) together. Forests have a way of their own
+    to score swapped calls, see :mod:`~ringwatch.operators.swapped`.
+    """
+    valid_rows = store(valid.select("call_id", "is_fraud", *fitted.features), "validation")
+    forest = isinstance(fitted, Fitted) and isinstance(fitted.estimator, RandomForestClassificationModel)
+    areas = (_forest_areas if forest else _scored_areas)(valid_rows, fitted, repeats, seed)
+    lost = areas.withColumn("lost", F.col("base") - F.col("roc_auc"))
     return (
         lost.groupBy("feature")
         .agg(F.avg("lost").alias("importance"), F.stddev_pop("lost").alias("std"))
